@@ -21,6 +21,7 @@ def query(name: str, sql: str | None = None, *ctes: str, digits: int | None = 6)
             out = fn(spark, folder)
             return rounded(out, digits) if digits is not None else out
         run.__name__ = name
+        run.defined_in = fn.__module__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if sql is not None:
