@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dbl, is_numeric, no_nan, ratio
@@ -62,32 +62,36 @@ def psi(base: DataFrame, cur: DataFrame, cols: Sequence[str] | None = None, bins
         return (df.select(F.explode(cells).alias("e")).select("e.*", F.lit(side).alias("side"))
                 .where(F.col("bin").isNotNull()))
 
-    grid = [(c, b) for c, e in edges.items() for b in range(max(len(e) - 1, 1))]
+    grid = [(c, b) for c, e in edges.items() for b in range(-1, max(len(e) - 1, 1))]
     frame = base.sparkSession.createDataFrame(pa.table({
         "feature": [c for c, _ in grid], "bin": pa.array([b for _, b in grid], pa.int32())}))
-    if not binned:
-        seen = frame.select("feature", "bin", F.lit(0).alias("e"), F.lit(0).alias("a")).limit(0)
-    else:
+    if binned:
         seen = (counts(base, 0).unionByName(counts(cur, 1)).groupBy("feature", "bin")
                 .agg(F.count_if(F.col("side") == 0).alias("e"), F.count_if(F.col("side") == 1).alias("a")))
-    outside = seen.where(F.col("bin") == -1).select("feature", F.col("a").alias("n_outside"))
-    cells = frame.join(seen, ["feature", "bin"], "left").select(
-        "feature", "bin", F.coalesce("e", F.lit(0)).alias("e"), F.coalesce("a", F.lit(0)).alias("a"))
-    totals = cells.groupBy("feature").agg(F.sum("e").alias("n_base"), F.sum("a").alias("n_current"), F.count(F.lit(1)).alias("n_bins"))
+        frame = frame.join(seen, ["feature", "bin"], "left")
+    else:
+        frame = frame.withColumns({"e": F.lit(0), "a": F.lit(0)})
+    # From here on there are at most (bins + 1) rows per feature.
+    per = Window.partitionBy("feature")
+    inside = F.col("bin") >= 0
+    cells = frame.select(
+        "feature", "bin", F.coalesce("e", F.lit(0)).alias("e"), F.coalesce("a", F.lit(0)).alias("a")).withColumns({
+            "n_base": F.sum(F.when(inside, F.col("e"))).over(per), "n_current": F.sum(F.when(inside, F.col("a"))).over(per),
+            "n_bins": F.count_if(inside).over(per), "n_outside": F.sum(F.when(~inside, F.col("a"))).over(per)})
     pe = (F.col("e") + 1) / (F.col("n_base") + F.col("n_bins")).cast("double")
     pc = (F.col("a") + 1) / (F.col("n_current") + F.col("n_bins")).cast("double")
-    empty = (F.col("n_base") == 0) | ((F.col("n_current") == 0) & F.coalesce(F.col("n_outside") == 0, F.lit(True)))
-    term = F.when(empty, 0.0).otherwise((pc - pe) * F.ln(pc / pe))
-    return cells.join(totals, "feature").join(outside, "feature", "left").groupBy("feature").agg(
+    empty = (F.col("n_base") == 0) | (F.col("n_current") + F.col("n_outside") == 0)
+    term = F.when(inside & ~empty, (pc - pe) * F.ln(pc / pe)).otherwise(0.0)
+    return cells.groupBy("feature").agg(
         F.sum(term).alias("psi"), F.max("n_bins").alias("n_bins"),
-        F.max(ratio(F.coalesce("n_outside", F.lit(0)), F.col("n_current") + F.coalesce("n_outside", F.lit(0)))).alias("outside_share"))
+        F.max(ratio("n_outside", F.col("n_current") + F.col("n_outside"))).alias("outside_share"))
 
 
 def drift_report(base: DataFrame, cur: DataFrame, cols: Sequence[str] | None = None, threshold: float = DRIFT_THRESHOLD,
                  bins: int = 10, open_ends: bool = False) -> DataFrame:
     """PSI of every common numeric feature with its status and the number of alerts."""
     p = psi(base, cur, cols, bins, open_ends)
-    alerts = p.agg(F.count_if(F.col("psi") > threshold).alias("n")).scalar()
+    alerts = F.count_if(F.col("psi") > threshold).over(Window.partitionBy(F.lit(1)))  # one row per feature here
     return p.select("feature", "psi", "outside_share", F.when(F.col("psi") > threshold, "DRIFT").otherwise("OK").alias("status"),
                     alerts.alias("n_alerts")).orderBy("feature")
 

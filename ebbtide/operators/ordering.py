@@ -36,11 +36,6 @@ def range_borders(df: DataFrame, cols: Sequence[str], buckets: int | None = None
     The number of buckets grows with the row count, so a bucket stays near
     ``ROWS_PER_BUCKET`` rows until ``MAX_BUCKETS`` is reached.
     """
-    return _sketch(df, cols, buckets)[1]
-
-
-def _sketch(df: DataFrame, cols: Sequence[str], buckets: int | None = None) -> tuple[int, dict[str, list[float]]]:
-    """(row count, borders per column)."""
     parts = buckets or FIRST_SKETCH
     probs = [i / parts for i in range(1, parts)]
     accuracy = max(2_000, 10 * parts)
@@ -49,13 +44,13 @@ def _sketch(df: DataFrame, cols: Sequence[str], buckets: int | None = None) -> t
     n = row["__n"]
     want = buckets or max(MIN_BUCKETS, min(MAX_BUCKETS, n // ROWS_PER_BUCKET))
     if want > parts:
-        return _sketch(df, cols, want)
+        return range_borders(df, cols, want)
     out = {}
     for c in cols:
         borders = row[c] or []
         step = max(1, parts // want)
         out[c] = sorted({float(b) for b in borders[step - 1::step] if b == b})
-    return n, out
+    return out
 
 
 def bucket_index(x: Column, borders: Sequence[float]) -> Column:
@@ -113,16 +108,15 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Se
     Exact by default and never shuffles the table: a sketch gives range borders,
     a second scan counts rows per bucket (map-side combined), and only the
     buckets that hold a wanted rank are grouped by value and resolved. A table
-    the first scan has counted at ``small_rows`` or fewer takes one plain
-    aggregate instead. ``approx=True`` returns the sketch's answer from a single scan.
+    counted at ``small_rows`` or fewer is sorted in one aggregate instead. ``approx=True`` returns the sketch's answer from a single scan.
     """
     by, probs = list(by), [float(p) for p in probs]
     wanted = F.array(*[F.lit(p) for p in probs])
     if approx:
-        return _aggregated(df, cols, probs, by, lambda c: F.percentile_approx(c, probs, APPROX_ACCURACY))
-    n, borders = _sketch(df, cols)
-    if n <= small_rows:
-        return _aggregated(df, cols, probs, by, lambda c: F.percentile(c, F.array(*[F.lit(p) for p in probs])))
+        return _aggregated(df, cols, by, probs, lambda c: F.percentile_approx(c, probs, APPROX_ACCURACY))
+    if df.count() <= small_rows:
+        return _aggregated(df, cols, by, probs, lambda c: F.sort_array(F.collect_list(c)), lambda s: _picked(s, probs))
+    borders = range_borders(df, cols)
     long = _long(df, by, borders)
     keys = by + ["feature"]
     per_bucket = long.groupBy(*keys, "bucket").agg(F.count(F.lit(1)).alias("cnt"))
@@ -155,10 +149,25 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Se
     return picked.groupBy(*keys, "prob").agg((lower + (upper - lower) * fraction).alias("value"))
 
 
-def _aggregated(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str],
-                agg: Callable[[Column], Column]) -> DataFrame:
-    """Array-valued quantile aggregates, one per column, as long rows."""
+def _picked(ordered: Column, probs: Sequence[float]) -> Column:
+    """Linearly interpolated quantiles of a sorted array."""
+    last = (F.size(ordered) - 1).cast("double")
+
+    def at(p: float) -> Column:
+        pos = last * F.lit(p)
+        lower = F.try_element_at(ordered, (F.floor(pos) + 1).cast("int"))
+        upper = F.try_element_at(ordered, (F.ceil(pos) + 1).cast("int"))
+        return lower + (upper - lower) * (pos - F.floor(pos))
+
+    return F.when(F.size(ordered) > 0, F.array(*[at(p) for p in probs]))
+
+
+def _aggregated(df: DataFrame, cols: Sequence[str], by: Sequence[str], probs: Sequence[float],
+                agg: Callable[[Column], Column], read: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Array-valued aggregates, one per column, turned into quantiles and long rows."""
     wide = df.groupBy(*by).agg(*[agg(no_nan(c)).alias(f"__q{i}") for i, c in enumerate(cols)])
+    if read:
+        wide = wide.select(*by, *[read(F.col(f"__q{i}")).alias(f"__q{i}") for i in range(len(cols))])
     cells = F.array(*[
         F.struct(F.lit(c).alias("feature"), F.lit(p).alias("prob"), F.col(f"__q{i}")[j].alias("value"))
         for i, c in enumerate(cols) for j, p in enumerate(probs)])

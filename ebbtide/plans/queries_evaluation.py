@@ -88,7 +88,7 @@ def _(spark, d):
     return evaluate.pr_auc(v.scored(spark, d), "y", "p")
 
 
-@query("calibration", """select greatest(ceil(p * 10) - 1, 0)::bigint bin, count(*) n_rows, round(avg(p), 6) mean_score, round(avg(y), 6) fraction_positive from scored group by 1""")
+@query("calibration", """select greatest(ceil(p * 10) - 1, 0)::bigint bin, count(*) n_rows, round(avg(p), 9) mean_score, round(avg(y), 9) fraction_positive from scored group by 1""", digits=9)
 def _(spark, d):
     return evaluate.calibration(v.scored(spark, d), "y", "p")
 
