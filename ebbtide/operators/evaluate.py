@@ -49,12 +49,7 @@ def roc_auc(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> DataFr
 
 def _cumulative(df: DataFrame, y: str, score: str, by: Sequence[str]) -> DataFrame:
     grouped, borders = _scores(df, y, score, by)
-    cum = running_sums(grouped, "score", {"pos": "tp", "neg": "fp"}, borders, by, descending=True)
-    if by:
-        totals = grouped.groupBy(*by).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-        return cum.join(totals, list(by))
-    totals = grouped.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("t")).scalar()
-    return cum.withColumns({"n_pos": totals["p"], "n_neg": totals["n"]})
+    return running_sums(grouped, "score", {"pos": "tp", "neg": "fp"}, borders, by, descending=True, totals={"pos": "n_pos", "neg": "n_neg"})
 
 
 def roc_points(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> DataFrame:
@@ -209,12 +204,7 @@ def ks_by_feature(long: DataFrame, value: str, sample: str, by: Sequence[str] =
     src = long.select(*by, no_nan(value).alias("x"), F.col(sample).alias("__s")).where(F.col("x").isNotNull())
     borders = range_borders(src, ["x"])["x"]
     counts = src.groupBy(*by, "x").agg(F.count_if(F.col("__s") == 1).alias("c1"), F.count_if(F.col("__s") == 2).alias("c2"))
-    cum = running_sums(counts, "x", {"c1": "f1", "c2": "f2"}, borders, by)
-    if by:
-        cum = cum.join(counts.groupBy(*by).agg(F.sum("c1").alias("n1"), F.sum("c2").alias("n2")), list(by))
-    else:
-        t = counts.agg(F.struct(F.sum("c1").alias("a"), F.sum("c2").alias("b")).alias("t")).scalar()
-        cum = cum.withColumns({"n1": t["a"], "n2": t["b"]})
+    cum = running_sums(counts, "x", {"c1": "f1", "c2": "f2"}, borders, by, totals={"c1": "n1", "c2": "n2"})
     d = F.max(F.abs(ratio("f1", "n1") - ratio("f2", "n2")))
     out = cum.groupBy(*by).agg(d.alias("ks"), F.max("n1").alias("n1"), F.max("n2").alias("n2"))
     return out.withColumn("p_value", kolmogorov_p(F.col("ks"), F.col("n1"), F.col("n2"))).withColumn(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dbl, ratio
@@ -75,8 +75,8 @@ def proxy_features(df: DataFrame, cols: Sequence[str], group: str, threshold: fl
 def class_weight_table(df: DataFrame, label: str) -> DataFrame:
     """n / (classes * n_c) per class."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = counts.agg(F.struct(F.sum("n_rows").alias("n"), F.count(F.lit(1)).alias("c")).alias("t")).scalar()
-    return counts.withColumn("weight", ratio(total["n"], F.col("n_rows") * total["c"]))
+    everything = Window.partitionBy(F.lit(1))  # one row per class by now
+    return counts.withColumn("weight", ratio(F.sum("n_rows").over(everything), F.col("n_rows") * F.count(F.lit(1)).over(everything)))
 
 
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
@@ -88,11 +88,9 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
 def reweighing_table(df: DataFrame, group: str, label: str) -> DataFrame:
     """P(g) P(y) / P(g, y) for each observed combination."""
     cells = df.where(F.col(group).isNotNull() & F.col(label).isNotNull()).groupBy(group, label).agg(F.count(F.lit(1)).alias("n_gy"))
-    n = cells.agg(F.sum("n_gy").alias("n")).scalar()
-    by_g = cells.groupBy(group).agg(F.sum("n_gy").alias("n_g"))
-    by_y = cells.groupBy(label).agg(F.sum("n_gy").alias("n_y"))
-    return cells.join(by_g, group).join(by_y, label).select(
-        group, label, "n_gy", ratio(dbl("n_g") * dbl("n_y"), n * F.col("n_gy")).alias("weight"))
+    # One row per combination by now, so the marginals are windows over a handful of rows.
+    n, n_g, n_y = (F.sum("n_gy").over(Window.partitionBy(c)) for c in (F.lit(1), group, label))
+    return cells.select(group, label, "n_gy", ratio(dbl(n_g) * dbl(n_y), n * F.col("n_gy")).alias("weight"))
 
 
 def reweighing(df: DataFrame, group: str, label: str, name: str = "weight") -> DataFrame:

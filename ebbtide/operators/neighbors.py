@@ -163,7 +163,7 @@ def transfer_attribute(synthetic: DataFrame, real: DataFrame, key: str, real_key
 
 def tomek_links(df: DataFrame, key: str, label: str, features: Sequence[str] | str, block_rows: int = 2048) -> DataFrame:
     """Pairs of opposite classes that are each other's nearest neighbour (key_a < key_b)."""
-    nn = nearest_neighbors(df, df, key, features, 1, block_rows=block_rows).select("key", "neighbor", "distance")
+    nn = staged(nearest_neighbors(df, df, key, features, 1, block_rows=block_rows).select("key", "neighbor", "distance"))
     side = df.select(F.col(key).alias("key"), F.col(label).alias("y"))
     mine = nn.join(side, "key")
     back = mine.select(F.col("key").alias("neighbor"), F.col("neighbor").alias("key"), F.col("y").alias("other_y"))

@@ -79,12 +79,15 @@ def _case_tree(x: Column, borders: list[float], lo: int, hi: int) -> Column:
 
 
 def running_sums(grouped: DataFrame, order: str, sums: Mapping[str, str], borders: Sequence[float],
-                 by: Sequence[str] = (), descending: bool = False) -> DataFrame:
+                 by: Sequence[str] = (), descending: bool = False, totals: Mapping[str, str] | None = None) -> DataFrame:
     """Inclusive running sums of ``sums`` (source column -> output column) along ``order``.
 
     ``grouped`` holds one row per (by, order) value. Rows in the same bucket are
-    summed by a window; whole earlier buckets arrive as an offset.
+    summed by a window; whole earlier buckets arrive as an offset. ``totals``
+    adds group totals, taken from the bucket table as well: a join on ``by``
+    alone would pile each group's rows up in one task.
     """
+    totals = dict(totals or {})
     by = list(by)
     b = grouped.withColumn("__bucket", bucket_index(dbl(order), borders))
     per_bucket = b.groupBy(*by, "__bucket").agg(*[F.sum(s).alias(f"__t_{s}") for s in sums])
@@ -92,7 +95,8 @@ def running_sums(grouped: DataFrame, order: str, sums: Mapping[str, str], border
     earlier = Window.partitionBy(*by).orderBy(bucket_key).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
         *by, "__bucket",
-        *[F.coalesce(F.sum(f"__t_{s}").over(earlier), F.lit(0)).alias(f"__o_{s}") for s in sums])
+        *[F.coalesce(F.sum(f"__t_{s}").over(earlier), F.lit(0)).alias(f"__o_{s}") for s in sums],
+        *[F.sum(f"__t_{s}").over(Window.partitionBy(*by)).alias(name) for s, name in totals.items()])
     row_key = F.col(order).desc() if descending else F.col(order).asc()
     inside = Window.partitionBy(*by, "__bucket").orderBy(row_key).rowsBetween(Window.unboundedPreceding, 0)
     joined = b.join(offsets, by + ["__bucket"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,11 +49,10 @@ def shared_dir(spark: SparkSession) -> str:
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
-    For inputs that several later passes read: the passes then cost a scan each
-    and a lost executor replays from files instead of the whole upstream plan.
+    For inputs that several later passes read: the passes then cost a pruned scan
+    each, and a lost executor replays from files instead of the whole upstream plan.
     """
     spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
