@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import elapsed_days
 from ..operators import encode, features, rollups
 from ..operators.models import vif
-from . import abt
+from ..session import staged
+from . import abt, churn
 from . import views as v
 from .queries_tables import PAYLOAD_CTE, SPLIT_CTE, _payload, three_way
 from .registry import as_text, query
@@ -369,6 +370,57 @@ def _(spark, d):
     return vif(v.table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
 
 
+FLAT_COLS = """account_id, timestamp '2001-09-01' reference_date, signup_date subscription_start_date, last_order last_activity_date, n_orders * 9 total_events,
+      n_orders active_days, n_orders % 5 usage_last_30d, n_orders % 3 usage_prev_30d, country seats_purchased, country // 2 seats_active, 20 features_available,
+      n_orders % 20 features_used, account_id % 9 total_tickets, account_id % 4 open_tickets, balance mrr, account_id % 90 - 10 contract_renewal_days,
+      (account_id % 2)::int m1, (account_id % 3 = 0)::int m2, (account_id % 5 = 0)::int m3"""
+
+
+@query("engineer_features", f"""select account_id, round(tm, 6) tenure_months, case when tm <= 3 then '0-3' when tm <= 6 then '3-6' when tm <= 12 then '6-12' else '12+' end tenure_bucket,
+  {days_sql('reference_date', 'last_activity_date')}::bigint days_since_last_activity, (contract_renewal_days < 30)::int near_renewal, round(total_events / tm, 6) usage_intensity,
+  round(least(greatest(active_days / (tm * 30.4::double), 0), 1), 6) active_day_ratio, round((usage_last_30d - usage_prev_30d) / (usage_prev_30d + 1.0::double), 6) usage_trend_30d,
+  round(seats_active / greatest(seats_purchased, 1)::double, 6) seat_utilization, round(features_used / 20::double, 6) feature_adoption_rate,
+  round(m1 * 0.1::double + m2 * 0.15::double + m3 * 0.25::double, 6) module_adoption_score, round(total_tickets / tm, 6) support_ticket_rate,
+  round(open_tickets / greatest(total_tickets, 1)::double, 6) unresolved_ticket_ratio, round(mrr / greatest(seats_purchased, 1), 6) revenue_per_seat,
+  case when mrr <= q[1] then 'low' when mrr <= q[2] then 'medium' else 'high' end mrr_segment from flat, (select quantile_cont(mrr, [1/3::double, 2/3::double]) q from flat)""", f"""
+  flat as (select {FLAT_COLS}, greatest({days_sql("timestamp '2001-09-01'", "signup_date")} / 30.4::double, 0.1::double) tm from accounts where signup_date is not null)""")
+def _(spark, d):
+    """The whole feature set of a flat customer table from its role mapping."""
+    k, n = F.col("account_id"), F.col("n_orders")
+    flat = v.accounts(spark, d).where(F.col("signup_date").isNotNull()).select(
+        "account_id", v.ntz(v.REF).alias("reference_date"), F.col("signup_date").alias("subscription_start_date"), F.col("last_order").alias("last_activity_date"),
+        (n * 9).alias("total_events"), n.alias("active_days"), (n % 5).alias("usage_last_30d"), (n % 3).alias("usage_prev_30d"), F.col("country").alias("seats_purchased"),
+        F.floor(F.col("country") / 2).alias("seats_active"), F.lit(20).alias("features_available"), (n % 20).alias("features_used"), (k % 9).alias("total_tickets"),
+        (k % 4).alias("open_tickets"), F.col("balance").alias("mrr"), (k % 90 - 10).alias("contract_renewal_days"), (k % 2).alias("module_1_active"),
+        (k % 3 == 0).cast("int").alias("module_2_active"), (k % 5 == 0).cast("int").alias("module_3_active"), F.lit(0).alias("module_4_active"), F.lit(0).alias("module_5_active"))
+    raw = set(flat.columns) - {"account_id"}
+    return churn.engineer_features(flat).drop(*raw)
+
+
+@query("engineer_bank", """select account_id, country * 12 tenure_months, active usage_intensity, 0 near_renewal, case when rk <= 1 + (n - 1) * (1/3::double) then 'low'
+  when rk <= 1 + (n - 1) * (2/3::double) then 'medium' else 'high' end mrr_segment from (select *, row_number() over (order by money, account_id) rk, count(*) over () n from (
+    select account_id, country, (n_orders > 9)::int active, case when account_id % 2 = 0 then 0 else abs(balance) end money from accounts))""")
+def _(spark, d):
+    """The second domain, with half of the balances at zero."""
+    a = v.accounts(spark, d).select("account_id", F.col("country").alias("Tenure"), (F.col("n_orders") > 9).cast("int").alias("IsActiveMember"),
+                                    F.when(F.col("account_id") % 2 == 0, 0.0).otherwise(F.abs("balance")).alias("Balance"))
+    return churn.engineer_bank(a, "account_id").select("account_id", "tenure_months", "usage_intensity", "near_renewal", "mrr_segment")
+
+
+@query("abt_features", f"""select account_id, round(tm, 6) tenure_months, case when tm <= 3 then '0-3m' when tm <= 6 then '3-6m' when tm <= 12 then '6-12m' else '12+m' end tenure_bucket,
+  round(total_events / tm, 4) usage_intensity, round(least(active_days / (tm * 30.4::double), 1), 6) active_day_ratio, {days_sql('ref', 'last_activity_date')}::bigint days_since_last_activity,
+  (cycle - ({days_sql('ref', 'start_date')}::bigint % cycle) < 30)::int near_renewal, case when mrr_amount <= q[1] then 'low' when mrr_amount <= q[2] then 'medium' else 'high' end mrr_segment
+  from abt, (select quantile_cont(mrr_amount, [1/3::double, 2/3::double]) q from abt)""", f"""
+  ref as (select greatest((select max(last_activity_date) from usage_agg), (select max(o_orderdate) from orders)) ref),
+  abt as (select *, greatest({days_sql('ref', 'signup_date')} / 30.4::double, 0.1::double) tm, case when billing_frequency = 'F' then 365 else 30 end cycle
+    from accounts join latest_sub using (account_id) join usage_agg using (account_id), ref)""")
+def _(spark, d):
+    """Features derived from the staged base table (accounts with a subscription and usage)."""
+    base = staged(build(spark, d).where(F.col("subscription_id").isNotNull() & F.col("total_events").isNotNull()))
+    out = churn.abt_features(base, annual_values=["f"])
+    return out.select("account_id", "tenure_months", "tenure_bucket", F.round("usage_intensity", 4).alias("usage_intensity"), "active_day_ratio", "days_since_last_activity", "near_renewal", "mrr_segment")
+
+
 # ---- encodings -------------------------------------------------------------------------------------------------
 
 @query("label_encode_fit", """select 'p_brand' feature, p_brand as value, (row_number() over (order by p_brand) - 1) code from (select distinct p_brand from part)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array  # noqa: F401
 from pyspark.sql import functions as F
 
 from ..operators import attribution, encode, evaluate, fairness, models
@@ -11,7 +10,8 @@ from ..session import staged
 from ..sources import tables as io
 from ..streaming import audit as st
 from . import views as v
-from .queries_tables import AUDIT_CTE, audit_table, scratch, three_way
+from . import training
+from .queries_tables import AUDIT_CTE, PAYLOAD_CTE, _payload, audit_table, scratch, three_way
 from .registry import query
 
 FEATURES = ["balance", "n_orders", "max_spend", "avg_spend", "country"]
@@ -109,6 +109,34 @@ def _(spark, d):
     return scored.groupBy("risk_tier").agg(F.count(F.lit(1)).alias("n_rows"), F.min("probability").alias("min_probability"), F.max("probability").alias("max_probability"))
 
 
+SMALL = {"forest": {"trees": 10, "depth": 5}, "boosting": {"rounds": 5, "depth": 3}}
+
+
+@query("train_and_compare")
+def _(spark, d):
+    """Three fitted models and the majority baseline on the test split, by recall."""
+    train, test = prepared(spark, d)
+    train = train.drop("weight")
+    return training.compare(training.fit_all(train, FEATURES, LABEL, **SMALL), train, test, KEY, LABEL)
+
+
+@query("balancing_effect")
+def _(spark, d):
+    train, test = prepared(spark, d)
+    return training.balancing_effect(train.drop("weight"), test, FEATURES, KEY, LABEL, **SMALL)
+
+
+@query("score_batch", """select count(*) n_audit, (select count(*) from payload) - (select count(*) from valid_payload) n_quarantined, count(distinct industry) n_groups from valid_payload join accounts using (account_id)""", PAYLOAD_CTE)
+def _(spark, d):
+    """Column gate, row rules, scoring without protected columns, audit rows with them."""
+    train, _ = prepared(spark, d)
+    payload = _payload(spark, d).join(v.accounts(spark, d).select(KEY, "industry", *FEATURES), KEY)
+    model = models.fit_logistic(train, FEATURES, LABEL, "weight")
+    scored, audit, bad = training.score_batch(payload, model, FEATURES, KEY, ["mrr", "tenure_months"], ["industry"], prepare=lambda df: df.fillna(0.0, FEATURES))
+    n_bad = bad.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return audit.agg(F.count(F.lit(1)).alias("n_audit"), n_bad.alias("n_quarantined"), F.count_distinct("protected_attributes.industry").alias("n_groups"))
+
+
 @query("importances")
 def _(spark, d):
     train, _ = prepared(spark, d)
