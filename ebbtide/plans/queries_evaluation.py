@@ -360,7 +360,32 @@ def _(spark, d):
     return s.join(a, "parent").join(b, "neighbor").agg(F.count(F.lit(1)).alias("n_synthetic"), F.count_distinct("parent").alias("n_parents"), F.every(ok).alias("on_segment"))
 
 
-@query("smote_tomek")
+UNIT = "(('0x' || substr(md5(concat_ws(':', parent, round, '{tag}')), 1, 8))::bigint / 4294967296::double)"
+SMOTE_CTE = f"""
+  scl as (select account_id, churn_flag, (balance - (select avg(balance) from accounts)) / (select stddev_pop(balance) from accounts) balance,
+      (n_orders - (select avg(n_orders) from accounts)) / (select stddev_pop(n_orders) from accounts) n_orders from accounts),
+  small as (select account_id parent, balance, n_orders, row_number() over (order by md5(account_id || ':42'), account_id) rk, count(*) over () n,
+      (select count(*) filter (churn_flag = 0) - count(*) filter (churn_flag = 1) from scl) need from scl where churn_flag = 1),
+  near as (select parent, neighbor, row_number() over (partition by parent order by dist, neighbor) pos from (
+      select a.parent, b.parent neighbor, sqrt((a.balance - b.balance) ** 2 + (a.n_orders - b.n_orders) ** 2) dist from small a join small b on a.parent <> b.parent)),
+  drawn as (select *, {UNIT.format(tag='g42')} gap, floor({UNIT.format(tag='n42')} * 5)::bigint + 1 pick
+      from (select *, unnest(range((need - rk) // n + 1)) round from small where rk <= need)),
+  made as (select d.parent, x.neighbor, d.round, d.gap, d.balance + d.gap * (o.balance - d.balance) balance, d.n_orders + d.gap * (o.n_orders - d.n_orders) n_orders
+      from drawn d join near x on x.parent = d.parent and x.pos = d.pick join small o on o.parent = x.neighbor),
+  grown as (select 'r:' || account_id row_id, balance, n_orders, churn_flag from scl union all select 's:' || parent || ':' || round, balance, n_orders, 1 from made),
+  nearest as (select a.row_id, a.churn_flag, arg_min(b.row_id, ((a.balance - b.balance) ** 2 + (a.n_orders - b.n_orders) ** 2, b.row_id)) nb
+      from grown a join grown b on a.row_id <> b.row_id group by 1, 2),
+  linked as (select a.row_id from nearest a join nearest b on a.nb = b.row_id and b.nb = a.row_id where a.churn_flag <> b.churn_flag)"""
+
+
+@query("smote_rows", "select parent, neighbor, round, round(gap, 6) gap, round(balance, 6) balance, round(n_orders, 6) n_orders, 1 churn_flag from made", SMOTE_CTE)
+def _(spark, d):
+    """The synthetic rows themselves."""
+    return sampling.smote(staged(scaled(spark, d)), "account_id", "churn_flag", SMOTE_FEATURES)
+
+
+@query("smote_tomek", """select churn_flag, count(*) n_rows, count(*) filter (row_id like 's:%') n_synthetic from grown
+  where row_id not in (select row_id from linked) group by 1""", SMOTE_CTE)
 def _(spark, d):
     """Rows left per class after oversampling and removing Tomek links."""
     out = sampling.smote_tomek(staged(scaled(spark, d)), "account_id", "churn_flag", SMOTE_FEATURES, stage=staged)
