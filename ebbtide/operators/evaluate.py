@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dbl, no_nan, numeric_columns, ratio, ratio_or_zero
+from ..session import staged
 from .ordering import range_borders, running_sums, value_ranks
 from .quality import wide_to_rows
 
@@ -40,11 +41,13 @@ def _scores(df: DataFrame, y: str, score: str, by: Sequence[str]) -> tuple[DataF
 def roc_auc(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Mann-Whitney AUC with ties counted half; NULL when a class is absent."""
     grouped, borders = _scores(df, y, score, by)
-    ranked = running_sums(grouped, "score", {"neg": "neg_upto"}, borders, by)
+    # Totals of both classes keep the bucket branch on the very same aggregate, so its shuffle is reused.
+    ranked = running_sums(grouped, "score", {"neg": "neg_upto"}, borders, by, totals={"pos": "n_pos", "neg": "n_neg"})
     wins = F.sum(dbl("pos") * (dbl("neg_upto") - dbl("neg") * 0.5))
+    sizes = F.coalesce(F.max("n_pos"), F.lit(0)), F.coalesce(F.max("n_neg"), F.lit(0))
     return ranked.groupBy(*by).agg(
-        F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
-        F.try_divide(wins, F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("roc_auc"))
+        sizes[0].alias("n_pos"), sizes[1].alias("n_neg"),
+        F.try_divide(wins, sizes[0].cast("double") * sizes[1].cast("double")).alias("roc_auc"))
 
 
 def _cumulative(df: DataFrame, y: str, score: str, by: Sequence[str]) -> DataFrame:
@@ -169,8 +172,9 @@ def business_capture(metrics: DataFrame) -> DataFrame:
 
 def top_decile_capture(df: DataFrame, key: str, y: str, p: str, share: float = 0.1, target: float = 0.7) -> DataFrame:
     """Share of the positives among the highest-scored ``share`` of rows, ties by key."""
-    ranked = value_ranks(df.select(key, F.col(y).alias("__y"), (-dbl(p)).alias("__p")), "__p", key, "__rank")
-    n = df.agg(F.count(p).alias("n")).scalar()
+    narrow = staged(df.select(key, F.col(y).alias("__y"), (-dbl(p)).alias("__p")))  # ranking reads it several times
+    ranked = value_ranks(narrow, "__p", key, "__rank")
+    n = narrow.agg(F.count("__p").alias("n")).scalar()
     top = F.col("__rank") <= F.ceil(n.cast("double") * share)
     return ranked.agg(
         F.count_if(top).alias("n_top"), F.count_if(top & (F.col("__y") == 1)).alias("captured"),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clip, col, cut, dbl, elapsed_days, floor_ratio, ratio
@@ -145,7 +145,7 @@ def quantile_segment(df: DataFrame, column: str, labels: Sequence[str] = THIRDS,
 def rank_segment(df: DataFrame, column: str, key: str, labels: Sequence[str] = THIRDS, name: str = "mrr_segment") -> DataFrame:
     """Segments on the rank over (value, key): always equal counts, whatever the ties."""
     ranked = value_ranks(df, column, key, "__rank")
-    n = ranked.agg(F.max("__rank").alias("n")).scalar()
+    n = df.agg(F.count(column).alias("n")).scalar()
     q = len(labels)
     label = F.lit(labels[-1])
     for i in range(q - 2, -1, -1):

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from ..functions import dbl
 from .clean import align_features
-from .evaluate import risk_report, tier_counts  # noqa: F401
 from .features import RISK_EDGES, RISK_LABELS, decide, risk_tier
 from .sampling import stratified_folds
 

@@ -90,7 +90,7 @@ def running_sums(grouped: DataFrame, order: str, sums: Mapping[str, str], border
     totals = dict(totals or {})
     by = list(by)
     b = grouped.withColumn("__bucket", bucket_index(dbl(order), borders))
-    per_bucket = b.groupBy(*by, "__bucket").agg(*[F.sum(s).alias(f"__t_{s}") for s in sums])
+    per_bucket = b.groupBy(*by, "__bucket").agg(*[F.sum(s).alias(f"__t_{s}") for s in {**sums, **totals}])
     bucket_key = F.col("__bucket").desc() if descending else F.col("__bucket").asc()
     earlier = Window.partitionBy(*by).orderBy(bucket_key).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(

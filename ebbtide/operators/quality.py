@@ -7,8 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import dbl, is_numeric, ratio, sample_skewness  # noqa: F401
-from .ordering import quantile_values
+from ..functions import dbl, is_numeric, ratio
 
 
 def wide_to_rows(one_row: DataFrame, entries: Sequence[Mapping[str, Column]]) -> DataFrame:

@@ -212,10 +212,30 @@ def _(spark, d):
 @query("fairness_alerts", f"""select window_start, count(*) n_groups, sum(n)::bigint n_rows, round(min(r), 6) min_rate, round(max(r), 6) max_rate, round(max(r) - min(r), 6) gap, max(r) - min(r) > 0.01 alert
   from (select {WEEK_SQL} window_start, region, count(*) n, (count(*) filter (risk_tier = 'HIGH'))::double / count(*) r from audit group by 1, 2) group by 1""", AUDIT_CTE)
 def _(spark, d):
-    """The batch run of the streaming plan (the stream itself is tested for equality)."""
+    """The batch run of the streaming plan."""
     return st.fairness_alerts(audit_table(spark, d), "protected_attributes.region", 0.01).withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
 
 
+CLOSED = "time_bucket(interval '7 days', ts, timestamp '1970-01-01') + interval '7 days' <= (select max(ts) from audit) - interval '7 days'"
+
+
+@query("retention", f"""select {WEEK_SQL} window_start, count(*) prediction_count, count(*) filter (risk_tier = 'HIGH') high_risk_count from audit where {CLOSED} group by 1""", AUDIT_CTE)
+def _(spark, d):
+    """Append mode: a week is final, and leaves the state, once the retention has passed it."""
+    stream, out, state = streamed(spark, d, "retained")
+    st.drain(st.windowed_stats(stream, retention="7 days"), out, state)
+    return spark.read.parquet(out).select(F.date_format("window_start", "yyyy-MM-dd").alias("window_start"), "prediction_count", "high_risk_count")
+
+
+@query("fairness_alert_stream", f"""select window_start, count(*) n_groups, sum(n)::bigint n_rows, round(max(r) - min(r), 6) gap, max(r) - min(r) > 0.01 alert
+  from (select {WEEK_SQL} window_start, region, count(*) n, (count(*) filter (risk_tier = 'HIGH'))::double / count(*) r from audit where {CLOSED} group by 1, 2) group by 1""", AUDIT_CTE)
+def _(spark, d):
+    """Closed weeks of the alert stream: two chained stateful aggregations in append mode."""
+    stream, out, state = streamed(spark, d, "alerts")
+    st.drain(st.fairness_alerts(stream, "protected_attributes.region", 0.01, retention="7 days"), out, state)
+    return spark.read.parquet(out).select(F.date_format("window_start", "yyyy-MM-dd").alias("window_start"), "n_groups", "n_rows", "gap", "alert")
+
+
 @query("score_stream")
 def _(spark, d):
     """Test accounts arriving as a stream, scored row by row, written as audit rows."""

@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators import clean, quality, sampling
 from ..session import shared_dir

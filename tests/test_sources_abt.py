@@ -90,3 +90,17 @@ def test_audit_log_skips_broken_lines(spark, raw):
     spark.createDataFrame([(good,), ('{"timestamp": ',), ("rubbish",)], "value string").coalesce(1).write.text(path)
     out = io.read_audit_log(spark, path).collect()
     assert len(out) == 1 and out[0].protected_attributes.region == "EU"
+
+
+def test_staging_uses_the_configured_folder(spark, raw):
+    from ebbtide import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return f"{raw}/shared" if key == "spark.checkpoint.dir" else default
+
+    class Session:
+        conf = Conf()
+
+    assert session.shared_dir(Session()) == f"{raw}/shared"
+    assert sorted(r.id for r in session.staged(spark.range(3)).collect()) == [0, 1, 2]
