@@ -27,7 +27,7 @@ ROWS_PER_BUCKET = 2_000_000
 MIN_BUCKETS = 8
 FIRST_SKETCH = 128
 APPROX_ACCURACY = 10_000
-SMALL_ROWS = 1_000_000
+SMALL_CELLS = 4_000_000
 
 
 def range_borders(df: DataFrame, cols: Sequence[str], buckets: int | None = None) -> dict[str, list[float]]:
@@ -106,19 +106,20 @@ def running_sums(grouped: DataFrame, order: str, sums: Mapping[str, str], border
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-              approx: bool = False, small_rows: int = SMALL_ROWS) -> DataFrame:
+              approx: bool = False, small_cells: int = SMALL_CELLS) -> DataFrame:
     """Quantiles with linear interpolation: one row per (by, feature, prob).
 
     Exact by default and never shuffles the table: a sketch gives range borders,
     a second scan counts rows per bucket (map-side combined), and only the
     buckets that hold a wanted rank are grouped by value and resolved. A table
-    counted at ``small_rows`` or fewer is sorted in one aggregate instead. ``approx=True`` returns the sketch's answer from a single scan.
+    counted at ``small_cells`` values or fewer (rows times columns) is sorted in
+    one aggregate instead. ``approx=True`` returns the sketch's answer from a single scan.
     """
     by, probs = list(by), [float(p) for p in probs]
     wanted = F.array(*[F.lit(p) for p in probs])
     if approx:
         return _aggregated(df, cols, by, probs, lambda c: F.percentile_approx(c, probs, APPROX_ACCURACY))
-    if df.count() <= small_rows:
+    if df.count() * len(cols) <= small_cells:
         return _aggregated(df, cols, by, probs, lambda c: F.sort_array(F.collect_list(c)), lambda s: _picked(s, probs))
     borders = range_borders(df, cols)
     long = _long(df, by, borders)
