@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, quality, rules, sharding, simhash
+from . import codes, embeddings, licenses, packing, pieces, pitman_yor, quality, rules, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -86,3 +86,29 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   not base_failed and not ({' or '.join(f'({how}) and rate_{k} > 0.3' for k, how in _RULE_SQL.items())}) as kept
 from b join q on b.source is not distinct from q.source
 """
+
+
+@query
+def op2_pitman_yor_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return pitman_yor.score(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op9_window_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
+@query
+def op10_addressable_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return codes.read(spark, codes.write(table(spark, folder, "documents")))
+
+
+@query
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return licenses.scan(docs, licenses.train(docs))
+
+
+@query
+def op8_merge_dropout(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.round_trip(table(spark, folder, "documents"))

@@ -172,3 +172,18 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int
     least = staged(at.groupBy(F.col("root").alias("_root")).agg(F.min("first").alias("component_id")))
     named = staged(at.join(least, F.col("root") == F.col("_root")).select(F.col("fp").alias("_fp"), "component_id"))
     return marked.join(named, F.col("fp") == F.col("_fp")).select(key, "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each group of linked rows: the one of the smallest key (rows without a key only where a group has no other).
+
+    Rows are told apart by a hash of key and text, so that repeated rows are one; of those one stays.
+    """
+    mark = F.xxhash64(F.col(key), F.col(text))
+    marked = docs.select(mark.alias("_mark"), F.col(key).alias("_key"), F.col(text).alias("_text"))
+    found = groups(marked, "_mark", "_text", radius)
+    owners = staged(docs.select(mark.alias("_m"), F.col(key).cast("long").alias("_k")).distinct())
+    ranked = found.select("_mark", "component_id").distinct().join(owners, F.col("_mark") == F.col("_m"))
+    first = staged(ranked.groupBy("component_id").agg(F.min(F.struct(F.col("_k").isNull().alias("none"), "_k", "_mark")).alias("best")).select(F.col("best._mark").alias("_stay")))
+    kept = docs.withColumn("_mark", mark).join(first, F.col("_mark") == F.col("_stay"), "left_semi")
+    return kept.dropDuplicates(["_mark"]).drop("_mark")
