@@ -16,6 +16,9 @@ SPACE = "[\\x20\\x09-\\x0D]+"
 def words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
     """(all words, where each text's words begin, plus the end). Null reads as empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    if texts.offset or lower:  # ascii_lower misreads slices, so the bytes are laid out from their start
+        data, starts = raw(texts)
+        texts = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(np.ascontiguousarray(starts)), pa.py_buffer(data))
     if lower:
         texts = pc.ascii_lower(texts)
     lists = pc.ascii_split_whitespace(texts)
