@@ -14,7 +14,7 @@ import pyarrow as pa
 from .text import coded, ranges, words
 
 #: Distinct words that one worker keeps.
-KEPT = 1_500_000
+KEPT = 500_000
 #: Words joined into one string for the tokenizer.
 JOINED = 256
 #: Closes every document.
