@@ -195,10 +195,9 @@ TARGET_GATES = [("recall", ">=", 0.75), ("pr_auc", ">=", 0.60), ("brier", "<=",
 
 
 def quality_gates(metrics: DataFrame, gates: Sequence[tuple[str, str, float]] = RELEASE_GATES, keep: Sequence[str] = ()) -> DataFrame:
-    """Pass or fail per gate (and per kept column, such as the model)."""
-    present = [(m, d, t) for m, d, t in gates if m in metrics.columns]
+    """Pass or fail per gate (and per kept column, such as the model). A metric that isn't there has no value and doesn't pass."""
     cells = F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(d).alias("direction"), F.lit(t).alias("gate"),
-                               dbl(m).alias("value")) for m, d, t in present])
+                               (dbl(m) if m in metrics.columns else F.lit(None).cast("double")).alias("value")) for m, d, t in gates])
     ok = F.when(F.col("direction") == ">=", F.col("value") >= F.col("gate")).otherwise(F.col("value") <= F.col("gate"))
     return metrics.select(*keep, F.explode(cells).alias("e")).select(*keep, "e.*").withColumn("passed", F.coalesce(ok, F.lit(False)))
 

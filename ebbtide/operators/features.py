@@ -35,7 +35,7 @@ TIER_ACTIONS = {
     "High": "outreach within 1 week",
     "Critical": "escalate",
 }
-DEFAULT_DESCRIPTION = "Predictive signal -- investigate further"
+DEFAULT_DESCRIPTION = "No description on file"
 
 
 def tenure_features(df: DataFrame, start: str, ref: Column | str, days_per_month: float = DAYS_PER_MONTH,

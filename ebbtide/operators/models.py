@@ -184,15 +184,23 @@ def load_model(path: str) -> PipelineModel:
 def vif(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Variance inflation factors: the diagonal of the inverse correlation matrix.
 
-    Spark computes the correlations in one scan; only the k by k matrix is inverted here.
+    Spark computes the correlations in one scan; only the k by k matrix is inverted here. Features that others
+    determine have an infinite factor; constant features have none (NULL) and don't count for the rest.
     """
     import numpy as np
 
     from .profile import correlation_matrix
 
-    at = {c: i for i, c in enumerate(cols)}
-    m = np.eye(len(cols))
-    for r in correlation_matrix(df, cols).collect():
+    spread = df.agg(*[(F.min(c) < F.max(c)).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+    live = [c for i, c in enumerate(cols) if spread[i]]
+    at = {c: i for i, c in enumerate(live)}
+    m = np.eye(len(live))
+    for r in correlation_matrix(df, live).collect() if len(live) > 1 else []:
         m[at[r["feature_a"]], at[r["feature_b"]]] = m[at[r["feature_b"]], at[r["feature_a"]]] = r["r"] or 0.0
-    diag = np.diag(np.linalg.pinv(m)) if np.linalg.matrix_rank(m) < len(cols) else np.diag(np.linalg.inv(m))
-    return df.sparkSession.createDataFrame([(c, float(diag[i])) for c, i in at.items()], "feature string, vif double")
+    values, vectors = np.linalg.eigh(m)
+    gone = values < 1e-10
+    # What a feature shares with the directions that vanish is determined by the others.
+    tied = (vectors[:, gone] ** 2).sum(1) > 1e-10
+    diag = (vectors[:, ~gone] ** 2 / values[~gone]).sum(1)
+    factor = {c: float("inf") if tied[i] else float(diag[i]) for c, i in at.items()}
+    return df.sparkSession.createDataFrame([(c, factor.get(c)) for c in cols], "feature string, vif double")

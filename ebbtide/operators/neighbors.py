@@ -28,9 +28,10 @@ SLACK = 1e-9
 
 
 def _vectors(df: DataFrame, key: str, features: Sequence[str] | str) -> DataFrame:
-    """(key, v) rows; ``features`` is a list of columns or the name of one array column."""
+    """(key, v) rows; ``features`` is a list of columns or the name of one array column. Rows with a missing feature have no place and are set aside."""
     v = F.col(features).cast("array<double>") if isinstance(features, str) else F.array(*[dbl(f) for f in features])
-    return df.select(F.col(key).alias("key"), F.transform(v, lambda x: x + F.lit(0.0)).alias("v"))
+    rows = df.select(F.col(key).alias("key"), F.transform(v, lambda x: x + F.lit(0.0)).alias("v"))
+    return rows.where(F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull()))
 
 
 def _vector_id():

@@ -284,7 +284,7 @@ def _(spark, d):
     return features.tier_actions(features.risk_tier(v.scored(spark, d), "p")).select("account_id", "action")
 
 
-@query("clean_feature_names", """select distinct 'cat__' || p_brand raw_name, p_brand as label, case when p_brand = 'Brand#11' then 'first brand' else 'Predictive signal -- investigate further' end description from part""")
+@query("clean_feature_names", """select distinct 'cat__' || p_brand raw_name, p_brand as label, case when p_brand = 'Brand#11' then 'first brand' else 'No description on file' end description from part""")
 def _(spark, d):
     names = v.table(spark, d, "part").select(F.concat(F.lit("cat__"), F.col("p_brand")).alias("raw_name")).distinct()
     return features.clean_feature_names(names, "raw_name", {"Brand#11": "first brand"})

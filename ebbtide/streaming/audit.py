@@ -75,7 +75,12 @@ def score_stream(stream: DataFrame, model: Transformer, **kwargs) -> DataFrame:
 
 
 def drain(stream: DataFrame, out: str, checkpoint: str, mode: str = "append", fmt: str = "parquet") -> StreamingQuery:
-    """Process what is available and stop. Append goes to a file sink; complete and update rewrite the result."""
+    """Process what is available and stop. Append goes to a file sink; complete rewrites the result.
+
+    Update mode hands out changed rows only, which a rewritten folder can't hold: it is refused.
+    """
+    if mode not in ("append", "complete"):
+        raise ValueError(f"drain can't keep the result of output mode {mode}")
     writer = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).outputMode(mode)
     if mode == "append":
         query = writer.format(fmt).option("path", out).start()
