@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import staged
+
 MIN_WORDS = 20
 #: Largest share of words in repeated windows, in percent.
 MAX_REPEAT = 30
@@ -63,7 +65,8 @@ def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
     the prior has strength m (1 - m) / v - 1, kept within 1 and 1000; without spread it is 1000.
     """
     fails = [F.sum(F.expr(f"cast({how} as long)")).alias(f"f_{name}") for name, how in RULES.items()]
-    hosts = measured.groupBy(F.col(host).alias("_host")).agg(F.count(F.lit(1)).alias("host_docs"), *fails)
+    # Staged: a row per host, read for the prior and again for the join; the documents are read once.
+    hosts = staged(measured.groupBy(F.col(host).alias("_host")).agg(F.count(F.lit(1)).alias("host_docs"), *fails))
     moments = hosts.agg(*[x for name in RULES for x in (F.avg(F.expr(f"f_{name} / host_docs")).alias(f"m_{name}"), F.var_pop(F.expr(f"f_{name} / host_docs")).alias(f"v_{name}"))])
     prior = moments.first()  # one row of two numbers per rule
     out = []
