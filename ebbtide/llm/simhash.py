@@ -28,7 +28,7 @@ SHINGLE = 4
 RADIUS = 4
 SEED = 42
 #: Rows of a block of a shard; a unit of work holds two.
-BLOCK = 16_384
+BLOCK = 65_536
 #: Fingerprints for which the shards get a further vantage point.
 SHARD_ROWS = 60_000
 #: Comparisons below which a tree node compares directly.
