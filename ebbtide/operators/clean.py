@@ -175,21 +175,30 @@ def iqr_winsorize(df: DataFrame, cols: Sequence[str], m: float = 1.5, fitted: Ma
 
 
 def iqr_report(df: DataFrame, cols: Sequence[str], m: float = 1.5, fitted: Mapping | None = None) -> DataFrame:
-    """Quartiles, fences, counts outside and the range before and after capping."""
-    fences = fitted if fitted is not None else iqr_fit(df, cols, m)
-    if not fences:
-        raise ValueError("no column has a spread")
+    """Quartiles, fences, counts outside and the range before and after capping.
+
+    A column without spread keeps its quartiles as fences and has nothing outside, as nothing is capped there; one
+    without values has NULLs and zero counts.
+    """
+    fences = dict(fitted) if fitted is not None else iqr_fit(df, cols, m)
+    flat = [c for c in cols if c not in fences]
+    fences |= {c: (q1, q3, None, None) for c, (q1, q3) in quantile_values(df, flat, [0.25, 0.75]).items()}
+
+    def number(v: float | None) -> Column:
+        return F.lit(v).cast("double")
+
     aggs = []
     for i, (c, (_, _, lo, hi)) in enumerate(fences.items()):
         x = dbl(c)
-        aggs += [F.count(x).alias(f"n{i}"), F.count_if(x < lo).alias(f"b{i}"), F.count_if(x > hi).alias(f"a{i}"),
+        aggs += [F.count(x).alias(f"n{i}"), F.count_if(x < number(lo)).alias(f"b{i}"), F.count_if(x > number(hi)).alias(f"a{i}"),
                  F.min(x).alias(f"l{i}"), F.max(x).alias(f"h{i}")]
     return wide_to_rows(df.agg(*aggs), [
-        {"column_name": F.lit(c), "q1": F.lit(q1), "q3": F.lit(q3), "iqr": F.lit(q3 - q1),
-         "lower_bound": F.lit(lo), "upper_bound": F.lit(hi), "n_below": F.col(f"b{i}"), "n_above": F.col(f"a{i}"),
+        {"column_name": F.lit(c), "q1": number(q1), "q3": number(q3), "iqr": number(q3) - number(q1),
+         "lower_bound": F.coalesce(number(lo), number(q1)), "upper_bound": F.coalesce(number(hi), number(q3)), "n_below": F.col(f"b{i}"), "n_above": F.col(f"a{i}"),
          "pct_outside": ratio((F.col(f"a{i}") + F.col(f"b{i}")) * 100, F.col(f"n{i}")),
          "original_min": F.col(f"l{i}"), "original_max": F.col(f"h{i}"),
-         "capped_min": clip(F.col(f"l{i}"), lo, hi), "capped_max": clip(F.col(f"h{i}"), lo, hi)}
+         "capped_min": F.col(f"l{i}") if lo is None else clip(F.col(f"l{i}"), lo, hi),
+         "capped_max": F.col(f"h{i}") if lo is None else clip(F.col(f"h{i}"), lo, hi)}
         for i, (c, (q1, q3, lo, hi)) in enumerate(fences.items())])
 
 

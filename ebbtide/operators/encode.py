@@ -12,8 +12,6 @@ from ..functions import dbl
 from .clean import value_counts
 from .ordering import small_side, sorted_codes
 
-MAX_LEVELS = 2_000
-
 
 def label_encode_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(feature, value, code): codes follow sorted value order, from 0, per column."""
@@ -34,11 +32,9 @@ def label_encode_apply(df: DataFrame, mapping: DataFrame, cols: Sequence[str], s
     return out
 
 
-def levels(df: DataFrame, cols: Sequence[str], limit: int = MAX_LEVELS) -> dict[str, list[str]]:
-    """Sorted distinct values per column; they become output columns, so their number is checked."""
-    rows = value_counts(df, cols).select("feature", "value").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} levels: use label codes for these columns")
+def levels(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted distinct values per column; each becomes an output column (many levels: ``one_hot_slots``)."""
+    rows = value_counts(df, cols).select("feature", "value").collect()
     found: dict[str, list[str]] = {c: [] for c in cols}
     for r in rows:
         found[r["feature"]].append(r["value"])
@@ -57,6 +53,22 @@ def one_hot(df: DataFrame, cols: Sequence[str], drop: bool = True) -> DataFrame:
     return one_hot_apply(df, levels(df, cols), drop)
 
 
+def one_hot_slots(df: DataFrame, cols: Sequence[str], name: str = "slots") -> DataFrame:
+    """The sparse layout of the same encoding, for any number of levels: an array with the position of each column's 1.
+
+    Columns take consecutive ranges of positions in the order of ``cols``, levels sorted within; a NULL has no
+    position. The code table is a joined table, never columns or driver data.
+    """
+    codes = label_encode_fit(df, cols)
+    sizes = {r["feature"]: r["n"] for r in codes.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+    out = label_encode_apply(df, codes, cols, suffix="__slot")
+    slots, start = [], 0
+    for c in cols:
+        slots.append(F.col(f"{c}__slot") + F.lit(start))
+        start += sizes.get(c, 0)
+    return out.withColumn(name, F.array_compact(F.array(*slots))).drop(*[f"{c}__slot" for c in cols])
+
+
 def cardinality(df: DataFrame, cols: Sequence[str], approx: bool = False) -> dict[str, int]:
     count = F.approx_count_distinct if approx else F.count_distinct
     row = df.agg(*[count(F.col(c)).alias(c) for c in cols]).first()

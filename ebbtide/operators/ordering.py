@@ -6,9 +6,9 @@ here works in two levels instead: rows get a range bucket, bucket totals are a
 small table whose running sum gives each bucket's offset, and the fine order is
 only resolved inside a bucket.
 
-Bucket borders come from a quantile sketch collected to the driver (at most
-``MAX_BUCKETS`` numbers per column). They steer balance only; every result is
-exact whatever the borders are.
+Bucket borders come from a quantile sketch collected to the driver (one number
+per ``ROWS_PER_BUCKET`` rows and column). They steer balance only; every result
+is exact whatever the borders are.
 """
 
 from __future__ import annotations
@@ -18,23 +18,22 @@ from collections.abc import Callable, Mapping, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import dbl, no_nan
 
-MAX_BUCKETS = 4096
 ROWS_PER_BUCKET = 2_000_000
 MIN_BUCKETS = 8
 FIRST_SKETCH = 128
 APPROX_ACCURACY = 10_000
-SMALL_CELLS = 4_000_000
 
 
 def range_borders(df: DataFrame, cols: Sequence[str], buckets: int | None = None) -> dict[str, list[float]]:
     """Approximate equal-count borders per column; one pass, bounded result.
 
     The number of buckets grows with the row count, so a bucket stays near
-    ``ROWS_PER_BUCKET`` rows until ``MAX_BUCKETS`` is reached.
+    ``ROWS_PER_BUCKET`` rows at every size.
     """
     parts = buckets or FIRST_SKETCH
     probs = [i / parts for i in range(1, parts)]
@@ -42,7 +41,7 @@ def range_borders(df: DataFrame, cols: Sequence[str], buckets: int | None = None
     aggs = [F.percentile_approx(dbl(c), probs, accuracy).alias(c) for c in cols]
     row = df.agg(F.count(F.lit(1)).alias("__n"), *aggs).first()
     n = row["__n"]
-    want = buckets or max(MIN_BUCKETS, min(MAX_BUCKETS, n // ROWS_PER_BUCKET))
+    want = buckets or max(MIN_BUCKETS, n // ROWS_PER_BUCKET)
     if want > parts:
         return range_borders(df, cols, want)
     out = {}
@@ -106,21 +105,18 @@ def running_sums(grouped: DataFrame, order: str, sums: Mapping[str, str], border
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-              approx: bool = False, small_cells: int = SMALL_CELLS) -> DataFrame:
+              approx: bool = False) -> DataFrame:
     """Quantiles with linear interpolation: one row per (by, feature, prob).
 
     Exact by default and never shuffles the table: a sketch gives range borders,
     a second scan counts rows per bucket (map-side combined), and only the
-    buckets that hold a wanted rank are grouped by value and resolved. A table
-    counted at ``small_cells`` values or fewer (rows times columns) is sorted in
-    one aggregate instead. ``approx=True`` returns the sketch's answer from a single scan.
+    buckets that hold a wanted rank are grouped by value and resolved.
+    ``approx=True`` returns the sketch's answer from a single scan.
     """
     by, probs = list(by), [float(p) for p in probs]
     wanted = F.array(*[F.lit(p) for p in probs])
     if approx:
         return _aggregated(df, cols, by, probs, lambda c: F.percentile_approx(c, probs, APPROX_ACCURACY))
-    if df.count() * len(cols) <= small_cells:
-        return _aggregated(df, cols, by, probs, lambda c: F.sort_array(F.collect_list(c)), lambda s: _picked(s, probs))
     borders = range_borders(df, cols)
     long = _long(df, by, borders)
     keys = by + ["feature"]
@@ -154,25 +150,10 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Se
     return picked.groupBy(*keys, "prob").agg((lower + (upper - lower) * fraction).alias("value"))
 
 
-def _picked(ordered: Column, probs: Sequence[float]) -> Column:
-    """Linearly interpolated quantiles of a sorted array."""
-    last = (F.size(ordered) - 1).cast("double")
-
-    def at(p: float) -> Column:
-        pos = last * F.lit(p)
-        lower = F.try_element_at(ordered, (F.floor(pos) + 1).cast("int"))
-        upper = F.try_element_at(ordered, (F.ceil(pos) + 1).cast("int"))
-        return lower + (upper - lower) * (pos - F.floor(pos))
-
-    return F.when(F.size(ordered) > 0, F.array(*[at(p) for p in probs]))
-
-
 def _aggregated(df: DataFrame, cols: Sequence[str], by: Sequence[str], probs: Sequence[float],
-                agg: Callable[[Column], Column], read: Callable[[Column], Column] | None = None) -> DataFrame:
+                agg: Callable[[Column], Column]) -> DataFrame:
     """Array-valued aggregates, one per column, turned into quantiles and long rows."""
     wide = df.groupBy(*by).agg(*[agg(no_nan(c)).alias(f"__q{i}") for i, c in enumerate(cols)])
-    if read:
-        wide = wide.select(*by, *[read(F.col(f"__q{i}")).alias(f"__q{i}") for i in range(len(cols))])
     cells = F.array(*[
         F.struct(F.lit(c).alias("feature"), F.lit(p).alias("prob"), F.col(f"__q{i}")[j].alias("value"))
         for i, c in enumerate(cols) for j, p in enumerate(probs)])
@@ -230,13 +211,18 @@ def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
 
 def value_ranks(df: DataFrame, value: str, key: str, rank: str = "rank") -> DataFrame:
-    """1-based rank over (value, key) for a numeric key, NULL values unranked.
+    """1-based rank over (value, key) for a key of any orderable type, NULL values unranked.
 
-    Ties keep key order. One value may hold a large share of the rows, so ties
-    are ranked by key buckets as well, never as one group.
+    Ties keep key order, rows without a key first. One value may hold a large
+    share of the rows, so ties are ranked by key buckets as well, never as one group.
     """
-    borders = range_borders(df, [value, key])
-    rows = df.withColumn("__kb", bucket_index(dbl(key), borders[key]))
+    if isinstance(df.schema[key].dataType, T.NumericType):
+        borders = range_borders(df, [value, key])
+        bucket = bucket_index(dbl(key), borders[key])
+    else:
+        borders = range_borders(df, [value])
+        bucket = _split_index(df, key)
+    rows = df.withColumn("__kb", F.coalesce(bucket, F.lit(-1)))
     ranked, rest = rows.where(F.col(value).isNotNull()), rows.where(F.col(value).isNull())
     cells = ranked.groupBy(value, "__kb").agg(F.count(F.lit(1)).alias("__n"))
     counts = cells.groupBy(value).agg(F.sum("__n").alias("__n"))
@@ -254,6 +240,21 @@ def value_ranks(df: DataFrame, value: str, key: str, rank: str = "rank") -> Data
     return out.unionByName(rest.drop("__kb").withColumn(rank, F.lit(None).cast("long")))
 
 
+def _split_index(df: DataFrame, key: str) -> Column:
+    """How many split points lie strictly below a key of any orderable type (NULL for NULL).
+
+    Split points are the distinct keys of the smallest hashes, one per ``ROWS_PER_BUCKET`` rows.
+    """
+    want = max(MIN_BUCKETS, df.count() // ROWS_PER_BUCKET)
+    keys = df.where(F.col(key).isNotNull()).select(key).distinct()
+    points = sorted(r[0] for r in keys.orderBy(F.xxhash64(key), key).limit(want).collect())
+    if not points:
+        return F.when(F.col(key).isNotNull(), F.lit(0))
+    kind = df.schema[key].dataType
+    splits = F.array(*[F.lit(p).cast(kind) for p in points])
+    return F.when(F.col(key).isNotNull(), F.size(F.filter(splits, lambda s: s < F.col(key))))
+
+
 def sorted_codes(distinct_values: DataFrame, value: str, by: Sequence[str] = (), code: str = "code") -> DataFrame:
     """0-based position of each distinct value in sorted order, per ``by`` group.
 

@@ -131,11 +131,25 @@ def require_columns(columns: Sequence[str], required: Sequence[str]) -> None:
 
 
 def table_fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Row count and an order-insensitive content hash, stable across runs and partitionings."""
-    cols = list(cols or df.columns)
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit("<null>")) for c in cols]
-    word = F.conv(F.substring(F.md5(F.concat_ws("|", *cells)), 1, 8), 16, 10).cast("long")
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(word), F.lit(0)).alias("fingerprint"))
+    """Row count and an order-insensitive content hash, stable across runs and partitionings.
+
+    Each cell is written with its length (NULL: ``-``), so no two rows share a text; the four words of all rows' md5
+    are summed as decimals, which no row count overflows.
+    """
+    n_rows, *sums = row_hash_sums([F.col(c) for c in (cols or df.columns)])
+    return df.agg(n_rows, *sums).select("n_rows", hash_text().alias("fingerprint"))
+
+
+def row_hash_sums(cells: Sequence[Column]) -> list[Column]:
+    """Aggregates that ``hash_text`` turns into a table's content hash."""
+    texts = [c.cast("string") for c in cells]
+    digest = F.md5(F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]))
+    words = [F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("decimal(20,0)") for i in range(4)]
+    return [F.count(F.lit(1)).alias("n_rows"), *[F.coalesce(F.sum(w), F.lit(0)).alias(f"__w{i}") for i, w in enumerate(words)]]
+
+
+def hash_text() -> Column:
+    return F.concat_ws("-", *[F.col(f"__w{i}").cast("decimal(38,0)").cast("string") for i in range(4)])
 
 
 def table_summary(df: DataFrame, label: str, capped: Sequence[str] = ()) -> DataFrame:

@@ -51,6 +51,9 @@ def union_segments(segments: Mapping[str, DataFrame], name: str = "segment") ->
     return out
 
 
+ROUNDS_PER_STEP = 65_536
+
+
 def _unit(*parts: Column) -> Column:
     """Repeatable number in [0, 1) from md5."""
     word = F.conv(F.substring(F.md5(F.concat_ws(":", *[p.cast("string") for p in parts])), 1, 8), 16, 10)
@@ -72,11 +75,16 @@ def smote(df: DataFrame, key: str, label: str, features: Sequence[str], k: int =
     pairs = nearest_neighbors(small, small, "parent", features, k, block_rows=block_rows)
     lists = pairs.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("position", "neighbor"))).alias("near"))
     parents = hash_ranks(small, "parent", seed, rank="__rank", size="__n").where(F.col("__rank") <= need)
-    rounds = F.floor((F.lit(need) - F.col("__rank")) / F.lit(float(max(n_small, 1)))).cast("int")
-    drawn = (parents.join(lists, F.col("parent") == F.col("key")).drop("key")
-             .withColumn("round", F.explode(F.sequence(F.lit(0), rounds))))
+    rounds = F.floor((F.lit(need) - F.col("__rank")) / F.lit(float(max(n_small, 1)))).cast("long")
+    # Two steps of sequences: one parent may have as many rounds as there are rows, too many for one array.
+    first = F.col("__step") * F.lit(ROUNDS_PER_STEP)
+    drawn = (parents.join(lists, F.col("parent") == F.col("key"), "left").drop("key").withColumn("__rounds", rounds)
+             .withColumn("__step", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("__rounds") / ROUNDS_PER_STEP))))
+             .withColumn("round", F.explode(F.sequence(first, F.least(F.col("__rounds"), first + F.lit(ROUNDS_PER_STEP - 1)))))
+             .drop("__rounds", "__step"))
     pick = (F.floor(_unit(F.col("parent"), F.col("round"), F.lit(f"n{seed}")) * F.size("near")) + 1).cast("int")
-    drawn = drawn.withColumns({"neighbor": F.element_at("near", pick)["neighbor"],
+    # A row without any neighbour (the only one of its class) is its own.
+    drawn = drawn.withColumns({"neighbor": F.coalesce(F.element_at("near", pick)["neighbor"], F.col("parent")),
                                "gap": _unit(F.col("parent"), F.col("round"), F.lit(f"g{seed}"))})
     other = small.select(F.col("parent").alias("neighbor"), *[F.col(f).alias(f"__o_{f}") for f in features])
     moved = [(F.col(f) + F.col("gap") * (F.col(f"__o_{f}") - F.col(f))).alias(f) for f in features]

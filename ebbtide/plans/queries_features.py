@@ -124,9 +124,9 @@ def _(spark, d):
 # ---- derived features ------------------------------------------------------------------------------------------
 
 @query("tenure_features", f"""select account_id, round(m, 6) tenure_months, case when m <= 3 then '0-3' when m <= 6 then '3-6' when m <= 12 then '6-12' when m > 12 then '12+' end tenure_bucket
-  from (select account_id, greatest({days_sql(REF_SQL, 'signup_date')} / 30.4::double, 0.1::double) m from accounts where signup_date is not null)""")
+  from (select account_id, greatest({days_sql(REF_SQL, 'signup_date')} / 30.4::double, 0.1::double) m from accounts)""")
 def _(spark, d):
-    a = v.accounts(spark, d).where(F.col("signup_date").isNotNull())
+    a = v.accounts(spark, d)
     return features.tenure_features(a, "signup_date", v.ntz(v.REF)).select("account_id", "tenure_months", "tenure_bucket")
 
 
@@ -161,14 +161,13 @@ def _(spark, d):
 
 def usage_base(spark, d):
     """Accounts with tenure, ticket and order counts."""
-    a = v.accounts(spark, d).where(F.col("signup_date").isNotNull())
-    t = features.tenure_features(a, "signup_date", v.ntz(v.REF))
+    t = features.tenure_features(v.accounts(spark, d), "signup_date", v.ntz(v.REF))
     return rollups.attach(t, rollups.ticket_rollup(v.support_tickets(spark, d)))
 
 
 USAGE_CTE = f"""
   usage_base as (select *, greatest({days_sql(REF_SQL, 'signup_date')} / 30.4::double, 0.1::double) tenure_months
-    from accounts left join ticket_agg using (account_id) where signup_date is not null)"""
+    from accounts left join ticket_agg using (account_id))"""
 
 
 @query("usage_features", """select account_id, round(n_orders / tenure_months, 6) usage_intensity,
@@ -229,6 +228,14 @@ def _(spark, d):
     return features.quantile_segment(e, "zeroed", name="segment", key="event_id").select("event_id", "segment")
 
 
+@query("rank_segment_text_key", """select c_name, case when rk <= 1 + (n - 1) * (1/3::double) then 'low' when rk <= 1 + (n - 1) * (2/3::double) then 'medium' else 'high' end segment
+  from (select c_name, row_number() over (order by greatest(c_acctbal, 0), c_name) rk, count(*) over () n from customer)""")
+def _(spark, d):
+    """Text keys break the ties of the floored balances."""
+    c = v.table(spark, d, "customer").select("c_name", F.greatest("c_acctbal", F.lit(0.0)).alias("floored"))
+    return features.rank_segment(c, "floored", "c_name", name="segment").select("c_name", "segment")
+
+
 @query("rank_first", "select l_orderkey * 8 + l_linenumber row_key, row_number() over (order by l_quantity, l_orderkey * 8 + l_linenumber) rank from lineitem")
 def _(spark, d):
     from ..operators.ordering import value_ranks
@@ -383,11 +390,11 @@ FLAT_COLS = """account_id, timestamp '2001-09-01' reference_date, signup_date su
   round(m1 * 0.1::double + m2 * 0.15::double + m3 * 0.25::double, 6) module_adoption_score, round(total_tickets / tm, 6) support_ticket_rate,
   round(open_tickets / greatest(total_tickets, 1)::double, 6) unresolved_ticket_ratio, round(mrr / greatest(seats_purchased, 1), 6) revenue_per_seat,
   case when mrr <= q[1] then 'low' when mrr <= q[2] then 'medium' else 'high' end mrr_segment from flat, (select quantile_cont(mrr, [1/3::double, 2/3::double]) q from flat)""", f"""
-  flat as (select {FLAT_COLS}, greatest({days_sql("timestamp '2001-09-01'", "signup_date")} / 30.4::double, 0.1::double) tm from accounts where signup_date is not null)""")
+  flat as (select {FLAT_COLS}, greatest({days_sql("timestamp '2001-09-01'", "signup_date")} / 30.4::double, 0.1::double) tm from accounts)""")
 def _(spark, d):
     """The whole feature set of a flat customer table from its role mapping."""
     k, n = F.col("account_id"), F.col("n_orders")
-    flat = v.accounts(spark, d).where(F.col("signup_date").isNotNull()).select(
+    flat = v.accounts(spark, d).select(
         "account_id", v.ntz(v.REF).alias("reference_date"), F.col("signup_date").alias("subscription_start_date"), F.col("last_order").alias("last_activity_date"),
         (n * 9).alias("total_events"), n.alias("active_days"), (n % 5).alias("usage_last_30d"), (n % 3).alias("usage_prev_30d"), F.col("country").alias("seats_purchased"),
         F.floor(F.col("country") / 2).alias("seats_active"), F.lit(20).alias("features_available"), (n % 20).alias("features_used"), (k % 9).alias("total_tickets"),
@@ -440,6 +447,16 @@ def _(spark, d):
     return encode.one_hot(v.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"), ["l_returnflag"])
 
 
+@query("one_hot_slots", """select l_orderkey, l_linenumber, f.slot || ',' || s.slot slots from lineitem
+    join levels f on f.feature = 'l_returnflag' and f.value = l_returnflag join levels s on s.feature = 'l_linestatus' and s.value = l_linestatus""", """
+  levels as (
+    select 'l_returnflag' feature, l_returnflag as value, row_number() over (order by l_returnflag) - 1 slot from lineitem group by l_returnflag
+    union all select 'l_linestatus', l_linestatus, (select count(distinct l_returnflag) from lineitem) + row_number() over (order by l_linestatus) - 1 from lineitem group by l_linestatus)""")
+def _(spark, d):
+    rows = v.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    return encode.one_hot_slots(rows, ["l_returnflag", "l_linestatus"]).select("l_orderkey", "l_linenumber", F.concat_ws(",", F.col("slots").cast("array<string>")).alias("slots"))
+
+
 @query("standardize", """select account_id, round((balance - m) / s, 6) balance from split3, (select avg(balance) m, stddev_pop(balance) s from split3 where split = 'train')""", SPLIT_CTE)
 def _(spark, d):
     """Fitted on the training split, applied to all rows."""

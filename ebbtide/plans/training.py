@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import evaluate, fairness, models
-from ..operators.clean import split_protected
 from ..operators.features import audit_tier
 from ..operators.quality import bound_rules, forbidden_columns, require_columns, validate_rows
 from ..session import staged
@@ -59,14 +58,14 @@ def score_batch(payload: DataFrame, model: Transformer, features: Sequence[str],
     """(scored rows, audit rows, quarantined rows) of a batch.
 
     A missing required column rejects the batch, broken rows are quarantined,
-    protected columns stay out of the features and come back for the audit.
+    protected columns stay out of the features and travel in the row for the audit,
+    so ``prepare`` must keep them; rows without a key are scored like any other.
     """
     require_columns(payload.columns, required)
     leaked = forbidden_columns(features, protected)
     if leaked:
         raise ValueError(f"protected columns among the features: {leaked}")
     valid, quarantine, _ = validate_rows(payload, rules if rules is not None else bound_rules())
-    open_part, side = split_protected(valid, key, protected)
-    ready = prepare(open_part) if prepare else open_part
-    scored = models.score(ready, model, features, keep=[key], threshold=threshold).withColumn("risk_tier", audit_tier("probability"))
-    return scored, audit_rows(scored.join(side, key), key, "probability", protected, timestamp=timestamp), quarantine
+    ready = prepare(valid) if prepare else valid
+    scored = models.score(ready, model, features, keep=[key, *protected], threshold=threshold).withColumn("risk_tier", audit_tier("probability"))
+    return scored.drop(*protected), audit_rows(scored, key, "probability", protected, timestamp=timestamp), quarantine

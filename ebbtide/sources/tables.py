@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import no_nan
+from ..operators.quality import hash_text, row_hash_sums
 from .schemas import AUDIT, TABLES
 
-MAX_HASHED_FILE = 1 << 30
-
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path resolves on whatever file system Spark reads it from."""
@@ -82,17 +81,25 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     return path
 
 
-def file_fingerprint(spark: SparkSession, path: str, max_bytes: int = MAX_HASHED_FILE) -> DataFrame:
-    """File, size and MD5. Files above ``max_bytes`` are not pulled into a row: hash their rows instead."""
-    files = spark.read.format("binaryFile").load(path)
-    name = F.element_at(F.split("path", "/"), -1).alias("file")
-    small = files.where(F.col("length") <= max_bytes).select(name, F.col("length").alias("size_bytes"), F.md5("content").alias("md5"))
-    large = files.where(F.col("length") > max_bytes).select(name, F.col("length").alias("size_bytes"), F.lit(None).cast("string").alias("md5"))
-    return small.unionByName(large)
+def file_fingerprint(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+    """File, size, number of rows and content hash of each file of a table.
+
+    Rows are hashed where they are read (see ``table_fingerprint``), so a file of any size is split like in any scan
+    and never is one value. ``fmt`` is taken from the path's ending by default; unknown endings are hashed as text
+    lines. Files without rows have 0 rows.
+    """
+    ending = path.rstrip("/").rsplit(".", 1)[-1]
+    fmt = fmt or (ending if ending in ("csv", "json", "orc", "parquet") else "text")
+    rows = spark.read.format("text" if fmt in ("csv", "json") else fmt).load(path)
+    n_rows, *sums = row_hash_sums([F.col(f"`{c}`") for c in rows.columns])
+    hashed = rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(n_rows, *sums)
+    files = spark.read.format("binaryFile").load(path).select("_metadata.file_name", F.col("length").alias("size_bytes"))
+    return files.withColumnRenamed("file_name", "file").join(hashed, "file", "left").select(
+        "file", "size_bytes", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.when(F.col("n_rows").isNotNull(), hash_text()).alias("content_hash"))
 
 
 def append_version_log(spark: SparkSession, sources: Mapping[str, str], log_path: str) -> DataFrame:
-    """One appended row per source file: table, file, size, MD5 and time of reading."""
+    """One appended row per source file: table, file, size, rows, content hash and time of reading."""
     out = None
     for table, path in sources.items():
         part = file_fingerprint(spark, path).select(F.lit(table).alias("table_name"), "*", F.current_timestamp().alias("versioned_at"))

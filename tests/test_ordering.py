@@ -21,7 +21,7 @@ def frame(spark, n=3000, seed=1):
 def test_quantiles_without_small_table_shortcut(spark):
     pdf, df = frame(spark)
     probs = [0.0, 0.1, 1 / 3, 0.5, 0.9, 0.99, 1.0]
-    got = {(r.feature, r.prob): r.value for r in o.quantiles(df, ["x", "z"], probs, small_cells=0).collect()}
+    got = {(r.feature, r.prob): r.value for r in o.quantiles(df, ["x", "z"], probs).collect()}
     for c in ("x", "z"):
         want = np.percentile(pdf[c].dropna(), [p * 100 for p in probs])
         assert np.allclose([got[(c, p)] for p in probs], want)
@@ -30,7 +30,7 @@ def test_quantiles_without_small_table_shortcut(spark):
 def test_quantiles_by_group_match_shortcut(spark):
     _, df = frame(spark)
     key = ("g", "feature", "prob")
-    far = [tuple(r) for r in o.quantiles(df, ["x"], [0.25, 0.5], by=["g"], small_cells=0).select(*key, "value").orderBy(*key).collect()]
+    far = [tuple(r) for r in o.quantiles(df, ["x"], [0.25, 0.5], by=["g"]).select(*key, "value").orderBy(*key).collect()]
     near = [tuple(r) for r in o.quantiles(df, ["x"], [0.25, 0.5], by=["g"]).select(*key, "value").orderBy(*key).collect()]
     assert np.allclose([r[3] for r in far], [r[3] for r in near]) and [r[:3] for r in far] == [r[:3] for r in near]
 
@@ -39,7 +39,7 @@ def test_quantiles_by_group_match_shortcut(spark):
 @given(st.lists(st.floats(-1e6, 1e6, allow_nan=False).map(lambda v: round(v, 2)), min_size=1, max_size=40), st.sampled_from([0.0, 0.2, 0.5, 0.77, 1.0]))
 def test_quantiles_property(spark, values, p):
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = o.quantiles(df, ["x"], [p], small_cells=0).first().value
+    got = o.quantiles(df, ["x"], [p]).first().value
     assert np.isclose(got, np.percentile(values, p * 100))
 
 

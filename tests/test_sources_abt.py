@@ -69,9 +69,12 @@ def test_cleaned_base_table_has_no_gaps(spark, raw):
 def test_fingerprint_and_version_log(spark, raw):
     a = io.file_fingerprint(spark, f"{raw}/accounts.csv").where("file like 'part%'").collect()
     b = io.file_fingerprint(spark, f"{raw}/accounts.csv").where("file like 'part%'").collect()
-    assert sorted(a) == sorted(b) and all(len(r.md5) == 32 for r in a)
-    big = io.file_fingerprint(spark, f"{raw}/accounts.csv", max_bytes=0)
-    assert big.where("size_bytes > 0 and md5 is not null").count() == 0
+    assert sorted(a) == sorted(b) and all(r.content_hash for r in a if r.size_bytes)
+    io.write_table(spark.range(7), f"{raw}/hashed.parquet")
+    io.write_table(spark.range(8), f"{raw}/other.parquet")
+    one, two = (io.file_fingerprint(spark, f"{raw}/{n}.parquet").where("file like 'part%'") for n in ("hashed", "other"))
+    assert sum(r.n_rows for r in one.collect()) == 7
+    assert {r.content_hash for r in one.collect()} != {r.content_hash for r in two.collect()}
     log = f"{raw}/versions"
     io.append_version_log(spark, {"accounts": f"{raw}/accounts.csv"}, log)
     n = io.append_version_log(spark, {"accounts": f"{raw}/accounts.csv"}, log).count()
