@@ -12,6 +12,7 @@ smallest keys can ever be neighbours, and identical queries share one search.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -23,7 +24,6 @@ from pyspark.sql import types as T
 from ..functions import dbl
 from ..session import staged
 
-MAX_PIVOTS = 512
 SLACK = 1e-9
 
 
@@ -69,7 +69,7 @@ def nearest_neighbors(queries: DataFrame, refs: DataFrame, key: str, features: S
     unique = q.groupBy("v").agg(F.count(F.lit(1)).alias("n")).select(_vector_id().alias("qid"), "v")
 
     n_refs = reduced.count()
-    p = int(min(MAX_PIVOTS, max(1, n_refs // block_rows)))
+    p = max(1, math.isqrt(n_refs) // 4)
     pivots = _matrix(pd.Series([x["v"] for x in reduced.orderBy(F.xxhash64("v"), "key").limit(p).collect()]))
     if not len(pivots):
         return q.select("key", F.lit(None).cast(key_type).alias("neighbor"), F.lit(0.0).alias("distance"),
@@ -83,7 +83,7 @@ def nearest_neighbors(queries: DataFrame, refs: DataFrame, key: str, features: S
 
     cell_schema = T.StructType([T.StructField("key", key_type), T.StructField("v", T.ArrayType(T.DoubleType())),
                                 T.StructField("cell", T.IntegerType()), T.StructField("radius", T.DoubleType())])
-    cells = reduced.mapInPandas(to_cell, cell_schema)
+    cells = staged(reduced.mapInPandas(to_cell, cell_schema))
     closest = Window.partitionBy("cell").orderBy("radius")
     sizes = {x["cell"]: x for x in cells.groupBy("cell").agg(
         F.count(F.lit(1)).alias("n"), F.max("radius").alias("far")).collect()}
@@ -98,8 +98,9 @@ def nearest_neighbors(queries: DataFrame, refs: DataFrame, key: str, features: S
 
     def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for lo in range(0, len(pdf), 512):
-                part = pdf.iloc[lo:lo + 512]
+            step = max(1, 2_000_000 // len(inner))
+            for lo in range(0, len(pdf), step):
+                part = pdf.iloc[lo:lo + step]
                 d = _distances(_matrix(part["v"]), pivots[ids])
                 bounds = d[:, owner] + inner[None, :]
                 m = min(keep, bounds.shape[1])
@@ -107,7 +108,7 @@ def nearest_neighbors(queries: DataFrame, refs: DataFrame, key: str, features: S
                 row, c = np.nonzero(d - far[None, :] <= limit[:, None] * (1 + SLACK) + SLACK)
                 yield pd.DataFrame({"qid": part["qid"].to_numpy()[row], "v": part["v"].to_numpy()[row], "cell": ids[c]})
 
-    wanted = unique.mapInPandas(candidates, "qid string, v array<double>, cell int")
+    wanted = staged(unique.mapInPandas(candidates, "qid string, v array<double>, cell int"))
     query_blocks = {x["cell"]: -(-x["n"] // block_rows) for x in wanted.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     def blocks_of(counts: dict[int, int]):

@@ -15,13 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import dbl, no_nan
+from ..session import staged
 
 ROWS_PER_BUCKET = 2_000_000
 MIN_BUCKETS = 8
@@ -134,11 +133,11 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Se
         .where((F.col("rank") >= F.col("offset")) & (F.col("rank") < F.col("offset") + F.col("cnt")))
         .select(*keys, "bucket", "offset", "n", "prob", "rank"))
 
-    ranks = _local_if_small(ranks)
+    ranks = small_side(ranks)
     hot = ranks.select(*keys, "bucket", "offset").distinct()
     in_bucket = Window.partitionBy(*keys, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     resolved = (
-        long.join(_broadcast_if_local(ranks, hot), keys + ["bucket"])
+        long.join(hot, keys + ["bucket"])
         .groupBy(*keys, "bucket", "offset", "value").agg(F.count(F.lit(1)).alias("cnt"))
         .withColumn("last", F.col("offset") + F.sum("cnt").over(in_bucket) - 1)
         .withColumn("first", F.col("last") - F.col("cnt") + 1)
@@ -160,30 +159,13 @@ def _aggregated(df: DataFrame, cols: Sequence[str], by: Sequence[str], probs: Se
     return wide.select(*by, F.explode(cells).alias("e")).select(*by, "e.*").where(F.col("value").isNotNull())
 
 
-LOCAL_ROWS = 20_000
-
-
-def _local_if_small(small: DataFrame) -> DataFrame:
-    """A result table of at most ``LOCAL_ROWS`` rows as driver data, else unchanged."""
-    rows = small.limit(LOCAL_ROWS + 1).collect()
-    if len(rows) > LOCAL_ROWS:
-        return small
-    names = small.columns
-    table = pa.table({c: pa.array([r[i] for r in rows], to_arrow_type(small.schema[i].dataType))
-                      for i, c in enumerate(names)})
-    local = small.sparkSession.createDataFrame(table, small.schema)
-    local.is_local_rows = True
-    return local
-
-
 def small_side(small: DataFrame) -> DataFrame:
-    """A join side fetched, counted and marked for broadcast if it is small; otherwise untouched."""
-    checked = _local_if_small(small)
-    return _broadcast_if_local(checked, checked)
-
+    """An aggregated join side, written once.
 
-def _broadcast_if_local(source: DataFrame, derived: DataFrame) -> DataFrame:
-    return F.broadcast(derived) if getattr(source, "is_local_rows", False) else derived
+    Its files' size is known when the join is planned, so Spark broadcasts it below
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles beyond; nothing reaches this process.
+    """
+    return staged(small)
 
 
 def _long(df: DataFrame, by: Sequence[str], borders: Mapping[str, Sequence[float] | None]) -> DataFrame:
@@ -305,3 +287,24 @@ def hash_ranks(df: DataFrame, key: str, seed: int, by: Sequence[str] = (), rank:
     return (rows.join(offsets, by + ["__bucket"])
             .withColumn(rank, (F.col("__o") + F.row_number().over(inside)).cast("long"))
             .drop("__h", "__bucket", "__o"))
+
+
+def hash_cuts(df: DataFrame, key: str, seed: int, by: str, cuts: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
+    """One row per ``by`` group with, for each of ``cuts``, the (hash, key) of the row whose rank it gives for the group's size.
+
+    Rows are only counted by the leading digits of their hash; of a prefix that holds a wanted rank the
+    rows are ordered, no others move. Groups that are NULL, and ranks below 1, have no cut.
+    """
+    rows = df.where(F.col(by).isNotNull()).select(F.col(by).alias("__by"), F.col(key).alias("k"), hash_order(key, seed).alias("h"))
+    rows = rows.withColumn("__bucket", F.substring("h", 1, 3))
+    cells = rows.groupBy("__by", "__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy("__by")
+    earlier = w.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cells.select("__by", "__bucket", "__n", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__o"), F.sum("__n").over(w).alias("__size"))
+    wanted = F.array(*[F.struct(F.lit(name).alias("cut"), rank(F.col("__size")).cast("long").alias("rank")) for name, rank in cuts.items()])
+    at = offsets.withColumn("__w", F.explode(wanted)).where((F.col("__w.rank") > F.col("__o")) & (F.col("__w.rank") <= F.col("__o") + F.col("__n")))
+    at = small_side(at.select("__by", "__bucket", F.col("__w.cut").alias("__cut"), (F.col("__w.rank") - F.col("__o")).alias("__place")))
+    inside = Window.partitionBy("__by", "__bucket", "__cut").orderBy("h", "k")
+    found = rows.join(at, ["__by", "__bucket"]).withColumn("__rn", F.row_number().over(inside)).where(F.col("__rn") == F.col("__place"))
+    picked = [F.max(F.when(F.col("__cut") == name, F.struct("h", "k"))).alias(name) for name in cuts]
+    return found.groupBy("__by").agg(*picked)

@@ -9,21 +9,27 @@ from pyspark.sql import functions as F
 
 from ..functions import dbl
 from .neighbors import nearest_neighbors, tomek_links
-from .ordering import hash_order, hash_ranks
+from .ordering import hash_cuts, hash_order, hash_ranks, small_side
 
 
 def stratified_split(df: DataFrame, key: str, label: str, test: float = 0.2, val: float = 0.0, seed: int = 42) -> DataFrame:
     """Adds ``split``: per class the first ceil(test * n) rows in hash order are test, then validation, then train.
 
-    ``val`` is a share of what remains after the test cut (0.2 and 0.15 give 68/12/20).
+    ``val`` is a share of what remains after the test cut (0.2 and 0.15 give 68/12/20). Rows without a label
+    stay, with a NULL split. Only the rows around a cut are ordered; all others are compared with it where
+    they are. Rows that share a key stay on one side.
     """
-    r = hash_ranks(df, key, seed, by=[label], rank="__rank", size="__n")
-    n_test = F.ceil(F.col("__n").cast("double") * F.lit(float(test)))
-    n_val = F.ceil((F.col("__n") - n_test).cast("double") * F.lit(float(val)))
-    split = F.when(F.col("__rank") <= n_test, "test")
-    if val:
-        split = split.when(F.col("__rank") <= n_test + n_val, "val")
-    return r.withColumn("split", split.otherwise("train")).drop("__rank", "__n")
+    def n_test(n: Column) -> Column:
+        return F.ceil(n.cast("double") * F.lit(float(test)))
+
+    def n_held(n: Column) -> Column:
+        return n_test(n) + F.ceil((n - n_test(n)).cast("double") * F.lit(float(val)))
+
+    cuts = small_side(hash_cuts(df, key, seed, label, {"__test": n_test, "__val": n_held}))
+    place = F.struct(hash_order(key, seed).alias("h"), F.col(key).alias("k"))
+    split = F.when(place <= F.col("__test"), "test").when(place <= F.col("__val"), "val").otherwise("train")
+    return df.join(cuts, F.col(label) == F.col("__by"), "left").select(
+        *df.columns, F.when(F.col(label).isNotNull(), split).alias("split"))
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
@@ -37,9 +43,10 @@ def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 42) -> DataFrame:
-    """Adds ``fold`` in 0..k-1 with every class dealt out evenly."""
+    """Adds ``fold`` in 0..k-1 with every class dealt out evenly; rows without a label stay, with a NULL fold."""
     r = hash_ranks(df, key, seed, by=[label], rank="__rank", size="__n")
-    return r.withColumn("fold", ((F.col("__rank") - 1) % k).cast("int")).drop("__rank", "__n")
+    dealt = r.withColumn("fold", ((F.col("__rank") - 1) % k).cast("int")).drop("__rank", "__n")
+    return dealt.unionByName(df.where(F.col(label).isNull()).withColumn("fold", F.lit(None).cast("int")))
 
 
 def union_segments(segments: Mapping[str, DataFrame], name: str = "segment") -> DataFrame:

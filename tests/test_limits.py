@@ -50,3 +50,17 @@ def test_many_levels_as_positions(spark):
     df = spark.range(2500).select(F.format_string("v%04d", "id").alias("c"), F.when(F.col("id") % 2 == 0, "e").alias("d"))
     got = {r.c: r.slots for r in encode.one_hot_slots(df, ["c", "d"]).collect()}
     assert len(got) == 2500 and got["v0000"] == [0, 2500] and got["v2499"] == [2499]
+
+
+def test_splits_keep_rows_without_label(spark):
+    from ebbtide.operators import sampling
+
+    data = spark.range(400).selectExpr("id", "case when id % 10 = 3 then null when id % 5 = 0 then 1 else 0 end y", "id extra")
+    split = {(r.y, r.split): r.n for r in sampling.stratified_split(data, "id", "y", 0.2, 0.15).groupBy("y", "split").agg(F.count("*").alias("n")).collect()}
+    assert split == {(None, None): 40, (1, "test"): 16, (1, "val"): 10, (1, "train"): 54, (0, "test"): 56, (0, "val"): 34, (0, "train"): 190}
+    fold = sampling.stratified_folds(data, "id", "y", 4)
+    assert fold.count() == 400 and fold.where("fold is null").count() == 40
+    # Repeated rows stay on one side, tables without rows give none.
+    twice = sampling.stratified_split(data.unionByName(data), "id", "y", 0.2, 0.15).groupBy("id").agg(F.count_distinct("split").alias("n"))
+    assert twice.where("n > 1").count() == 0
+    assert sampling.stratified_split(data.limit(0), "id", "y").count() == 0
