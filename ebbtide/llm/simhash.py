@@ -50,8 +50,8 @@ def fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
     memory = spaced.tobytes()
     out = np.zeros(len(ends) - 1, np.uint64)
     count = np.diff(ends)
-    # Texts in runs of about 200,000 words, so that the bit matrix stays small.
-    cuts = np.searchsorted(np.cumsum(count), np.arange(0, n + 200_000, 200_000))
+    # Texts in runs of about 200,000 words, so that the bit matrix stays small; the last run ends with the last text.
+    cuts = np.unique(np.append(np.searchsorted(np.cumsum(count), np.arange(0, n, 200_000)), len(count)))
     for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
         docs = np.arange(lo, hi)
         docs = docs[count[docs] > 0]

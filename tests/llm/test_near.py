@@ -1,6 +1,8 @@
 import re
 
 import numpy as np
+import pyarrow as pa
+import pytest
 import xxhash
 
 from ebbtide.llm import embeddings, graph, queries, simhash
@@ -50,6 +52,15 @@ def test_fingerprints(spark):
         assert r.component_id == (min(ids) if ids else None)
 
 
+@pytest.mark.parametrize("words", [199_980, 200_000, 200_020, 400_000])
+def test_fingerprints_of_full_runs(words):
+    texts = [sentence(20, i % 50) for i in range(words // 20 - 1)] + [sentence(20, 777)]
+    got = simhash.fingerprints(pa.array([*texts, None, ""]))
+    known = {t: brute_fingerprint(t) for t in set(texts)}
+    assert got.tolist() == [*[known[t] for t in texts], 0, 0]
+    assert simhash.fingerprints(pa.array([sentence(words, 3), sentence(9, 4)])).tolist() == [brute_fingerprint(sentence(words, 3)), brute_fingerprint(sentence(9, 4))]
+
+
 def planted(rng, n, groups):
     x = [int(v) for v in rng.integers(0, 1 << 63, n)]
     for _ in range(groups):
