@@ -2,9 +2,9 @@
 
 A text becomes segments: a run of spaces and what follows up to the next space; no piece reaches over a segment's end. In a segment the
 candidate merges form an agenda ordered by the merged piece's score, then from left to right; a candidate (start, middle, end) is skipped for good
-if a hash of the seed, the document's variant, the segment and the candidate's place is below the dropout. Equal segments of documents
-of one variant are processed once per batch, all short ones side by side in numpy (one merge per segment and round); long ones have a heap of their own. Without dropout
-the result is the library's own. Characters without a piece become byte pieces; so does a literal U+2581, which stands for the space, and hence decoding gives back
+if a hash of the seed, the document's id, the segment's number in it and the candidate's place is below the dropout: every occurrence has draws of its own.
+Short segments are merged side by side in numpy (one merge per segment and round); equal ones are merged as one for as long as their draws have skipped
+the same candidates. Long ones have a heap of their own. Without dropout the result is the library's own. Characters without a piece become byte pieces; so does a literal U+2581, which stands for the space, and hence decoding gives back
 every text exactly.
 """
 
@@ -17,15 +17,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .text import coded, extended, id_crc, mixed, ranges, raw, string_hashes
 
-#: Share of candidate merges that are skipped, and how many ways one segment may be cut across documents.
-DROPOUT, VARIANTS, SEED = 0.1, 4, 1
+#: Share of candidate merges that are skipped.
+DROPOUT, SEED = 0.1, 1
 #: Segments up to this many characters are processed side by side.
 SHORT = 64
+#: Characters of the segments that are merged at a time.
+CELLS = 1_000_000
 NEVER = np.int64(1 << 40)
 SPACE = 0x2581
 
@@ -98,44 +101,71 @@ def skipped(key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndar
     return (h >> np.uint64(11)).astype(np.float64) / float(1 << 53) < dropout
 
 
-def _side_by_side(model: Pieces, symbols: np.ndarray, key: np.ndarray, dropout: float) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Merge rows of equal length until nothing merges; (rows, their symbols, their starts) as rows finish."""
+def _side_by_side(model: Pieces, symbols: np.ndarray, of: np.ndarray, key: np.ndarray, dropout: float) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Merge rows of equal length until nothing merges, for units that each have a row (``of``) and a key.
+
+    A row stands for all units whose keys have skipped the same candidates so far, and is split where they part.
+    (units, their places among the rows that follow, the rows' first numbers, symbols and starts) as rows finish.
+    """
     n, width = symbols.shape
-    rows, done = np.arange(n), []
+    base, units, done = np.arange(n), np.arange(len(of)), []
     starts = np.tile(np.arange(width + 1), (n, 1))
-    if width < 2:
-        return [(rows, symbols, starts[:, :-1])]
     rank = model.ranks(symbols[:, :-1], symbols[:, 1:])
-    rank[(rank < NEVER) & skipped(key[:, None], starts[:, :-2], starts[:, 1:-1], starts[:, 2:], dropout)] = NEVER
-    while len(rows):
+    if width > 1 and dropout > 0:
+        line = np.arange(width + 1)
+        out = (rank < NEVER)[of] & skipped(key[:, None], line[:-2], line[1:-1], line[2:], dropout)
+        masks, mask = np.unique(out @ (np.uint64(1) << np.arange(width - 1, dtype=np.uint64)), return_inverse=True)
+        pairs, of = np.unique(of * len(masks) + mask, return_inverse=True)
+        base = pairs // len(masks)
+        symbols, starts, rank = symbols[base], starts[base], rank[base]
+        rank[(masks[pairs % len(masks)][:, None] >> np.arange(width - 1, dtype=np.uint64)) & np.uint64(1) == 1] = NEVER
+    while len(base):
+        if symbols.shape[1] < 2:
+            done.append((units, of, base, symbols, starts[:, :-1]))
+            break
         at = rank.argmin(1)
-        best = rank[np.arange(len(rows)), at]
+        best = rank[np.arange(len(base)), at]
         over = best == NEVER
         if over.any():
-            done.append((rows[over], symbols[over], starts[over, :-1]))
-            go = ~over
-            rows, symbols, starts, rank, key, at, best = rows[go], symbols[go], starts[go], rank[go], key[go], at[go], best[go]
-            if not len(rows):
+            ended, go = over[of], ~over
+            done.append((units[ended], (np.cumsum(over) - 1)[of[ended]], base[over], symbols[over], starts[over, :-1]))
+            units, of = units[~ended], (np.cumsum(go) - 1)[of[~ended]]
+            base, symbols, starts, rank, at, best = base[go], symbols[go], starts[go], rank[go], at[go], best[go]
+            if not len(base):
                 break
-        line = np.arange(len(rows))
-        symbols[line, at] = model.rank_id[best]
+        symbols[np.arange(len(base)), at] = model.rank_id[best]
         width = symbols.shape[1] - 1
         gap = np.arange(width)[None, :]
         symbols = np.take_along_axis(symbols, gap + (gap > at[:, None]), 1)
         gap = np.arange(width + 1)[None, :]
         starts = np.take_along_axis(starts, gap + (gap > at[:, None]), 1)
         if width < 2:
-            done.append((rows, symbols, starts[:, :-1]))
-            break
+            continue
         gap = np.arange(width - 1)[None, :]
         rank = np.take_along_axis(rank, np.minimum(gap + (gap >= at[:, None]), rank.shape[1] - 1), 1)
-        for side in (-1, 0):
+        drop = np.zeros(len(units), np.int64)
+        for bit, side in ((1, -1), (2, 0)):
             p = at + side
             ok = np.flatnonzero((p >= 0) & (p < width - 1))
-            q = p[ok]
-            r = model.ranks(symbols[ok, q], symbols[ok, q + 1])
-            r[(r < NEVER) & skipped(key[ok], starts[ok, q], starts[ok, q + 1], starts[ok, q + 2], dropout)] = NEVER
-            rank[ok, q] = r
+            r = model.ranks(symbols[ok, p[ok]], symbols[ok, p[ok] + 1])
+            rank[ok, p[ok]] = r
+            if dropout > 0:
+                offered = np.zeros(len(base), bool)
+                offered[ok[r < NEVER]] = True
+                some = np.flatnonzero(offered[of])
+                row = of[some]
+                q = p[row]
+                drop[some] |= bit * skipped(key[units[some]], starts[row, q], starts[row, q + 1], starts[row, q + 2], dropout)
+        if drop.any():
+            code = of * 4 + drop
+            used = np.zeros(4 * len(base), bool)
+            used[code] = True
+            of, met = (np.cumsum(used) - 1)[code], np.flatnonzero(used)
+            row = met // 4
+            base, symbols, starts, rank, at = base[row], symbols[row], starts[row], rank[row], at[row]
+            for bit, side in ((1, -1), (2, 0)):
+                hit = np.flatnonzero(met & bit)
+                rank[hit, at[hit] + side] = NEVER
     return done
 
 
@@ -170,8 +200,13 @@ def _alone(model: Pieces, symbols: np.ndarray, key: np.uint64, dropout: float) -
     return [sym[i] for i in left], left
 
 
-def encode(model: Pieces, texts: pa.Array, variants: np.ndarray, dropout: float = DROPOUT, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all texts, where each begins plus the end). Null and empty texts have none."""
+def segment_keys(docs: np.ndarray, numbers: np.ndarray, seed: int) -> np.ndarray:
+    """The dropout key of each segment from its document's key and its number in the document."""
+    return mixed(mixed(docs.astype(np.uint64) + np.uint64(seed) * np.uint64(0x2545F4914F6CDD1D)) + numbers.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def encode(model: Pieces, texts: pa.Array, docs: np.ndarray, dropout: float = DROPOUT, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts, where each begins plus the end). ``docs``: the documents' keys for dropout. Null and empty texts have none."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     empty = pc.binary_length(texts).to_numpy(zero_copy_only=False) == 0
     lists = pc.split_pattern(texts, " ")
@@ -194,10 +229,14 @@ def encode(model: Pieces, texts: pa.Array, variants: np.ndarray, dropout: float
     body = string_hashes(data, starts)
     place = place[segments]
     widest = int(lead.max()) + 1 if len(lead) else 1
-    joined = (place * widest + lead) * VARIANTS + (variants[owner] % VARIANTS if dropout > 0 else 0)
-    cases, at = np.unique(joined, return_inverse=True)
-    case_variant, case_lead, case_word = cases % VARIANTS, cases // VARIANTS % widest, cases // VARIANTS // widest
-    key = mixed(body[case_word] + mixed(case_lead.astype(np.uint64) * np.uint64(7919) + case_variant.astype(np.uint64)) + np.uint64(seed) * np.uint64(0x2545F4914F6CDD1D))
+    cases, at = np.unique(place * widest + lead, return_inverse=True)
+    case_lead, case_word = cases % widest, cases // widest
+    # What is merged: every segment by its own key; without dropout each distinct segment once.
+    if dropout > 0:
+        number = np.arange(len(owner)) - np.flatnonzero(first)[np.cumsum(first) - 1] if len(owner) else owner
+        unit_case, key = at, segment_keys(docs[owner], number, seed)
+    else:
+        unit_case, key = np.arange(len(cases)), np.zeros(len(cases), np.uint64)
     points = np.frombuffer("".join(distinct.to_pylist()).encode("utf-32-le"), "<u4").astype(np.int64)
     lengths = pc.utf8_length(distinct).to_numpy(zero_copy_only=False).astype(np.int64)
     begins = np.cumsum(lengths) - lengths
@@ -212,26 +251,37 @@ def encode(model: Pieces, texts: pa.Array, variants: np.ndarray, dropout: float
             return np.full((len(rows), width), space)
         return np.where(col < 0, space, symbol[np.clip(begins[case_word[rows]][:, None] + col, 0, len(symbol) - 1)])
 
-    case_of, order, ids = [], [], []
-    short = np.flatnonzero(total <= SHORT)
-    short = short[np.argsort(total[short], kind="stable")]
-    bounds = np.flatnonzero(np.diff(total[short])) + 1
+    way = np.zeros(len(unit_case), np.int64)
+    case_of, order, ids, way_case, ways = [], [], [], [], 0
+    unit_total = total[unit_case]
+    short = np.flatnonzero(unit_total <= SHORT)
+    short = short[np.argsort(unit_total[short] * max(1, len(cases)) + unit_case[short], kind="stable")]
+    bounds = np.flatnonzero(np.diff(unit_total[short])) + 1
     for group in np.split(short, bounds) if len(short) else []:
-        width = int(total[group[0]])
-        for lo in range(0, len(group), 50_000):
-            rows = group[lo:lo + 50_000]
-            for done, s, b in _side_by_side(model, start_symbols(rows, width), key[rows], dropout):
-                case_of.append(np.repeat(rows[done], s.shape[1]))
+        width = int(unit_total[group[0]])
+        step = max(1, CELLS // width)
+        for lo in range(0, len(group), step):
+            some = group[lo:lo + step]
+            rows, of = np.unique(unit_case[some], return_inverse=True)
+            for units, line, base, s, b in _side_by_side(model, start_symbols(rows, width), of, key[some], dropout):
+                way[some[units]] = ways + line
+                case_of.append(np.repeat(ways + np.arange(len(base)), s.shape[1]))
                 order.append(b.ravel())
                 ids.append(s.ravel())
-    for row in np.flatnonzero(total > SHORT).tolist():
-        s, b = _alone(model, start_symbols(np.array([row]), int(total[row]))[0], key[row], dropout)
-        case_of.append(np.full(len(s), row))
+                way_case.append(rows[base])
+                ways += len(base)
+    for unit in np.flatnonzero(unit_total > SHORT).tolist():
+        row = unit_case[unit]
+        s, b = _alone(model, start_symbols(np.array([row]), int(total[row]))[0], key[unit], dropout)
+        way[unit] = ways
+        case_of.append(np.full(len(s), ways))
         order.append(np.array(b))
         ids.append(np.array(s))
-    case_of, order, ids = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (case_of, order, ids))
-    sort = np.lexsort((order, case_of))
-    case_of, order, ids = case_of[sort], order[sort], ids[sort]
+        way_case.append(np.array([row]))
+        ways += 1
+    case_of, order, ids, way_case = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (case_of, order, ids, way_case))
+    case_lead, case_word = case_lead[way_case], case_word[way_case]
+    at = way if dropout > 0 else way[at]
     # Characters without a piece, as the bytes of their UTF-8.
     odd = np.flatnonzero(ids == model.unknown)
     if len(odd):
@@ -241,7 +291,7 @@ def encode(model: Pieces, texts: pa.Array, variants: np.ndarray, dropout: float
         case_of, wide = np.repeat(case_of, sizes), np.repeat(ids, sizes)
         wide[wide == model.unknown] = model.bytes_of[np.frombuffer(b"".join(spelled), np.uint8)]
         ids = wide
-    per_case = np.bincount(case_of, minlength=len(cases))
+    per_case = np.bincount(case_of, minlength=ways)
     first_id = np.cumsum(per_case) - per_case
     sizes = per_case[at]
     out = ids[ranges(first_id[at], sizes)]
@@ -256,12 +306,13 @@ def default_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def variant_of(ids: pa.Array, seed: int) -> np.ndarray:
-    return np.array([zlib.crc32(f"{seed}:{x}".encode()) for x in ids.to_pylist()], np.int64) % VARIANTS
+def keys_of(ids: pa.Array, seed: int) -> np.ndarray:
+    """Documents' keys for dropout: a 64-bit hash of seed and id."""
+    return np.array([xxhash.xxh64_intdigest(f"{seed}:{x}") for x in ids.to_pylist()], np.uint64)
 
 
 def with_ids(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, dropout: float = DROPOUT, seed: int = SEED, ids: str = "ids") -> DataFrame:
-    """``docs`` plus its ids (array<int>). Null texts have none. The document's key decides its variant."""
+    """``docs`` plus its ids (array<int>). Null texts have none. The document's key and a segment's number in it decide what is skipped."""
     path, schema = path or default_path(), docs.withColumn(ids, F.array().cast("array<int>")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,7 +321,7 @@ def with_ids(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str
             if not b.num_rows:
                 continue
             at = b.schema.get_field_index
-            got, ends = encode(model, b.column(at(text)), variant_of(b.column(at(key)), seed), dropout, seed)
+            got, ends = encode(model, b.column(at(text)), keys_of(b.column(at(key)), seed), dropout, seed)
             column = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(got.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([*b.columns, column], names=[*b.schema.names, ids])
 
@@ -304,9 +355,9 @@ def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", path: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = loaded(path)
         for whole in batches:
-            for lo in range(0, whole.num_rows, 4000):
-                b = whole.slice(lo, 4000)
-                ids, ends = encode(model, b.column(1), variant_of(b.column(0), seed), dropout, seed)
+            for lo in range(0, whole.num_rows, 1000):
+                b = whole.slice(lo, 1000)
+                ids, ends = encode(model, b.column(1), keys_of(b.column(0), seed), dropout, seed)
                 data, bounds = model.decode(ids, ends)
                 source, at = raw(pc.fill_null(b.column(1).cast(pa.large_string()), ""))
                 memory, origin = data.tobytes(), source.tobytes()

@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import numpy as np
@@ -118,6 +119,32 @@ def test_dropout_varies_and_decodes(spark):
     assert all(r.decoded == (r.text or "") for r in back)
 
 
+def test_every_occurrence_has_dropout_of_its_own():
+    model = pieces.loaded(pieces.default_path())
+    word = "internationalization"
+    texts = [" ".join([word] * 300), " ".join([word] * 300), " ".join(["a", "the", "  of", "x" * 90, "你好é"] * 40)]
+    docs = pieces.keys_of(pa.array([1, 2, 3]), 1)
+    ids, ends = pieces.encode(model, pa.array(texts), docs, 0.3, 1)
+    first, second, third = (ids[s:e].tolist() for s, e in zip(ends[:-1], ends[1:]))
+    assert first != second
+    # Each segment by a heap of its own gives the same.
+    at = dict(zip(model.chars.tolist(), model.char_ids.tolist(), strict=True))
+    ways = set()
+    for doc, text, got in ((0, texts[0], first), (1, texts[1], second), (2, texts[2], third)):
+        # A segment: a run of spaces (one is put before the text) and what follows.
+        segments = re.findall(" +[^ ]+", " " + text)
+        keys = pieces.segment_keys(np.full(len(segments), docs[doc]), np.arange(len(segments)), 1)
+        want = []
+        for segment, key in zip(segments, keys, strict=True):
+            points = [ord(c) if c != " " else pieces.SPACE for c in segment]
+            syms, _ = pieces._alone(model, np.array([at.get(p, model.unknown) for p in points]), key, 0.3)
+            assert model.unknown not in syms
+            want.extend(syms)
+            ways.add((segment, tuple(syms)))
+        assert got == want
+    assert len({w for s, w in ways if s == " " + word}) > 40
+
+
 def test_tables_drawn_from_the_exact_conditional():
     rng = np.random.default_rng(2)
     d, c, a = 0.8, 6, 0.7
