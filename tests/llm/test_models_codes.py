@@ -222,6 +222,20 @@ def test_licenses(spark):
     assert licenses.scan(docs.where("false"), licenses.fit([])).count() == 0
 
 
+def test_licenses_inside_long_lines(spark):
+    lines = [(f, t) for f, ts in licenses.TEMPLATES.items() for t in ts]
+    inside = [(i, sentence(1500, i) + " " + t + " " + sentence(1500, i + 3)) for i, (_, t) in enumerate(lines)]
+    both = (200, " ".join([sentence(900, 1), "Released under the MIT License.", sentence(900, 2), "Licensed under CC BY 4.0.", sentence(900, 3)]))
+    docs = spark.createDataFrame([*inside, both, *[(300 + i, sentence(40 + 10 * i, i)) for i in range(300)]], "doc_id long, text string")
+    got = [r for r in licenses.scan(docs, licenses.train(docs)).collect() if r.confirmed]
+    assert np.mean([any(r.doc_id == i and r.family == f for r in got) for i, (f, _) in enumerate(lines)]) > 0.9
+    assert {r.family for r in got if r.doc_id == 200} == {"MIT", "CC-BY"}
+    assert all(r.doc_id < 300 and r.paragraph == 0 for r in got)
+    line, first, last = licenses.windows(np.array([0, 5, 24, 25, 100]))
+    assert [(a, b) for k, a, b in zip(line, first, last) if k == 3] == [(0, 24), (1, 25)]
+    assert {w for k, a, b in zip(line, first, last) if k == 4 for w in range(a, b)} == set(range(100))
+
+
 def test_pipeline(spark):
     rows = [(i, sentence(60, i), "en", "a", 0) for i in range(60)] + [(60 + i, sentence(60, 3), "en", "a", 0) for i in range(20)] + [(3, sentence(60, 3), "en", "a", 0), (500, None, None, None, None), (501, "few words", "en", "a", 0)]
     docs = spark.createDataFrame(rows, awkward_documents(spark).schema)
