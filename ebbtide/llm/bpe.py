@@ -10,6 +10,7 @@ import os
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from .text import coded, ranges, words
 
@@ -67,9 +68,11 @@ class WordIds:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each closed by ``END``; where each text begins, plus the end). Null reads as empty."""
-        flat, ends = words(texts, lower=True)
+        flat, ends = words(texts)
         distinct, place = coded(flat)
-        names = distinct.to_pylist()
+        # Added tokens match the text's own spelling, so only words that can't hold one are lower-cased.
+        distinct, merged = coded(pc.if_else(pc.match_substring(distinct, "<|"), distinct, pc.ascii_lower(distinct)))
+        place, names = merged[place], distinct.to_pylist()
         if len(self.at) > KEPT:
             self.forget()
         fresh = [w for w in names if w not in self.at]

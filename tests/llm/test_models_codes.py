@@ -25,6 +25,12 @@ def test_word_ids_equal_whole_text_ids():
     assert [ids[s:e].tolist() for s, e in zip(ends[:-1], ends[1:])] == [expected_ids(t) for t in texts]
 
 
+def test_added_tokens_match_their_own_spelling_only():
+    texts = ["a <|ENDOFTEXT|> b", "<|EndOfText|>", "<|endoftext|> <|StartOfText|>x <|startoftext|>", "The the THE <|X Don't <|x", "É<|ENDOFTEXT|>É"]
+    ids, ends = bpe.WordIds(bpe.default_path()).encode(pa.array(texts))
+    assert [ids[s:e].tolist() for s, e in zip(ends[:-1], ends[1:])] == [expected_ids(t) for t in texts]
+
+
 def test_codes_round_trip_and_random_access():
     rng = np.random.default_rng(1)
     for ids in (np.zeros(0, np.int64), np.array([0]), np.array([255, 256, 65535, 65536, 2**31, 2**40]), rng.integers(0, 49408, 30_000), np.zeros(700, np.int64)):
