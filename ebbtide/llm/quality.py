@@ -160,15 +160,16 @@ def held_out(doc_id: str) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityModel:
-    """A model from the labelled documents that aren't held out, at most about ``sample`` of them, chosen by a hash of the id.
+    """A model from the labelled documents that aren't held out, at most ``sample`` of them, chosen by a hash of the id, then of id and text.
 
-    Rows without an id, label 0 or 1, are left out; a null text is an empty one.
+    Rows without an id, label 0 or 1, are left out; a null text is an empty one. Rows of equal id and text are one.
     """
     known = labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     known = known.where(~held_out("doc_id") & F.col("doc_id").isNotNull())
     share = min(1.0, sample / max(1, known.count()))
     known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    got = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "text", "quality").toArrow().sort_by("doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "text", "quality").distinct()
+    got = found.orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(sample).toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
     text = got.column("text").combine_chunks() if got.num_rows else pa.array([], pa.string())
     return fit(text, got.column("quality").to_numpy())
 

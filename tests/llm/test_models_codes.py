@@ -217,6 +217,23 @@ def test_quality(spark):
     assert quality.score(docs.where("false"), none).count() == 0 and none.score(pa.array(["a"]))[0] == 0.5
 
 
+def test_quality_sample_is_bounded_in_rows(spark, monkeypatch):
+    seen = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda texts, labels: seen.append((texts.to_pylist(), labels)) or fit(texts, labels))
+    rows = [(i, f"{i} " + sentence(20, i)) for i in range(200)] + [(7, "same text")] * 500 + [(7, f"other {i % 300}") for i in range(900)] + [(7, None)] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    quality.train(docs, labels, 10_000)
+    whole, _ = seen.pop()
+    assert whole.count("same text") == 1 and whole.count(None) == 1 and len([t for t in whole if t and t.startswith("other")]) == 300
+    quality.train(docs, labels, 250)
+    some, marks = seen.pop()
+    assert len(some) == len(marks) == 250 and len(set(some)) == 250
+    quality.train(docs.repartition(7), labels, 250)
+    assert seen.pop()[0] == some
+
+
 def test_licenses(spark):
     lines = [t for ts in licenses.TEMPLATES.values() for t in ts]
     docs = spark.createDataFrame([*[(i, sentence(30, i) + "\n\n" + t) for i, t in enumerate(lines)], *[(100 + i, sentence(40, i)) for i in range(400)], (900, None), (901, "")], "doc_id long, text string")
