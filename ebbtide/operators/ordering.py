@@ -293,7 +293,7 @@ def hash_cuts(df: DataFrame, key: str, seed: int, by: str, cuts: Mapping[str, Ca
     """One row per ``by`` group with, for each of ``cuts``, the (hash, key) of the row whose rank it gives for the group's size.
 
     Rows are only counted by the leading digits of their hash; of a prefix that holds a wanted rank the
-    rows are ordered, no others move. Groups that are NULL, and ranks below 1, have no cut.
+    keys are counted and ordered, no others move: repeated rows of a key are one row with a weight. Groups that are NULL, and ranks below 1, have no cut.
     """
     rows = df.where(F.col(by).isNotNull()).select(F.col(by).alias("__by"), F.col(key).alias("k"), hash_order(key, seed).alias("h"))
     rows = rows.withColumn("__bucket", F.substring("h", 1, 3))
@@ -304,7 +304,8 @@ def hash_cuts(df: DataFrame, key: str, seed: int, by: str, cuts: Mapping[str, Ca
     wanted = F.array(*[F.struct(F.lit(name).alias("cut"), rank(F.col("__size")).cast("long").alias("rank")) for name, rank in cuts.items()])
     at = offsets.withColumn("__w", F.explode(wanted)).where((F.col("__w.rank") > F.col("__o")) & (F.col("__w.rank") <= F.col("__o") + F.col("__n")))
     at = small_side(at.select("__by", "__bucket", F.col("__w.cut").alias("__cut"), (F.col("__w.rank") - F.col("__o")).alias("__place")))
-    inside = Window.partitionBy("__by", "__bucket", "__cut").orderBy("h", "k")
-    found = rows.join(at, ["__by", "__bucket"]).withColumn("__rn", F.row_number().over(inside)).where(F.col("__rn") == F.col("__place"))
+    inside = Window.partitionBy("__by", "__bucket", "__cut").orderBy("h", "k").rowsBetween(Window.unboundedPreceding, 0)
+    keys = rows.join(at, ["__by", "__bucket"]).groupBy("__by", "__bucket", "__cut", "__place", "h", "k").agg(F.count(F.lit(1)).alias("__n"))
+    found = keys.withColumn("__to", F.sum("__n").over(inside)).where((F.col("__place") <= F.col("__to")) & (F.col("__place") > F.col("__to") - F.col("__n")))
     picked = [F.max(F.when(F.col("__cut") == name, F.struct("h", "k"))).alias(name) for name in cuts]
     return found.groupBy("__by").agg(*picked)

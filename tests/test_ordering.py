@@ -81,3 +81,21 @@ def test_sorted_codes(spark):
     df = spark.createDataFrame([(w,) for w in reversed(words)], "v string")
     got = {r.v: r.code for r in o.sorted_codes(df, "v").collect()}
     assert all(got[w] == i for i, w in enumerate(words))
+
+
+def test_cuts_weigh_repeated_keys(spark):
+    pdf = pd.DataFrame({"k": [5] * 1000 + list(range(100, 2100)), "g": [0, 1] * 1500})
+    df = spark.createDataFrame(pdf)
+    ranks = {"first": 1, "mid": 600, "late": 1400, "last": 1500}
+    found = o.hash_cuts(df, "k", 3, "g", {n: (lambda size, r=r: F.lit(r)) for n, r in ranks.items()})
+    rows = df.select("g", "k", o.hash_order("k", 3).alias("h")).collect()
+    got = {r["__by"]: {n: tuple(r[n]) for n in ranks} for r in found.collect()}
+    for g in (0, 1):
+        mine = sorted((r.h, r.k) for r in rows if r.g == g)
+        hot = [i + 1 for i, x in enumerate(mine) if x[1] == 5]
+        assert got[g] == {n: mine[r - 1] for n, r in ranks.items()}
+        inside = o.hash_cuts(df.where(F.col("g") == g), "k", 3, "g", {"a": lambda s, r=hot[0]: F.lit(r), "b": lambda s, r=hot[-1]: F.lit(r), "c": lambda s, r=hot[-1] + 1: F.lit(r)}).first()
+        assert inside.a.k == inside.b.k == 5 and tuple(inside.c) == mine[hot[-1]]
+    # The window's rows are counts of keys.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan and "__to" in plan
