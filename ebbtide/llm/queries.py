@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import codes, embeddings, licenses, packing, pieces, pitman_yor, quality, rules, sharding, simhash
+from . import codes, embeddings, licenses, packing, pieces, pitman_yor, prefix_trie, quality, rules, secret_scan, sharding, simhash, spelling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -112,3 +112,85 @@ def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_merge_dropout(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.round_trip(table(spark, folder, "documents"))
+
+
+@query
+def op11_pivotal_grams(spark: SparkSession, folder: str) -> DataFrame:
+    """Every frequent word of all documents with its near words' number, its form and the form at the end of its path."""
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+@query
+def op12_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with the number of base matches of each kind, the digest of their places, and the places of all matches."""
+    found = secret_scan.scan(table(spark, folder, "documents"))
+    counts = [F.expr(f"cast(size(filter(found, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in secret_scan.BASE]
+    base = secret_scan.listed("found", secret_scan.BASE)
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), secret_scan.listed("found").alias("spans"))
+
+
+@query
+def op13_truncation_peeling(spark: SparkSession, folder: str) -> DataFrame:
+    """All distinct prefixes of the rebuilt conversations."""
+    return prefix_trie.trie(table(spark, folder, "conversations"))
+
+
+# CRC-32 byte by byte, from a table that SQL builds; letters of the words are ASCII or U+00C0 to U+00FF (two bytes, the first C3).
+_CRC_TABLE = "crc as (select list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), lambda c, k: case when c % 2 = 1 then xor(3988292384, c // 2) else c // 2 end)) as t)"
+
+
+def _crc_sql(signs: str) -> str:
+    ints = f"flatten(list_transform(string_split({signs}, ''), lambda s: case when unicode(s) < 128 then [unicode(s)::bigint] else [195::bigint, unicode(s)::bigint - 64] end))"
+    return f"xor(4294967295, list_reduce(list_concat([4294967295::bigint], {ints}), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c // 256)))"
+
+
+ORACLE["op11_pivotal_grams"] = f"""
+with recursive {_CRC_TABLE},
+r0 as (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) as run from documents),
+r1 as (select coalesce(doc_id::varchar, '') as k, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as n from r0 where length(run) >= 6 group by 1, 2),
+r2 as (select run, n, {_crc_sql("k || ':' || run")} as h from r1, crc),
+w as (
+  select word, sum(n)::bigint as n from (
+    select case when h % 199 = 0 then substr(run, 1, (h % length(run))::bigint) || substr(run, (h % length(run))::bigint + 2) else run end as word, n from r2)
+  where length(word) >= 6 group by word having sum(n) >= 5),
+d as (select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as cut from (select word, n, unnest(range(1, length(word) + 1)) as i from w)),
+pairs as (
+  select a.word, a.n, b.word as near, b.n as m from d a join d b on a.i = b.i and a.cut = b.cut and a.word <> b.word
+  union select d.word, d.n, w.word, w.n from d join w on d.cut = w.word
+  union select w.word, w.n, d.word, d.n from d join w on d.cut = w.word),
+best as (select word, count(*) as n_near, max(m) as m, min(n) as n from pairs group by word),
+forms as (select p.word, min(p.near) as form, p.m as form_n from pairs p join best using (word, m) where p.m >= 5 * p.n group by p.word, p.m),
+path as (
+  select word, form as goal, 1 as step from forms
+  union all select path.word, forms.form, step + 1 from path join forms on path.goal = forms.word),
+ends as (select word, arg_max(goal, step) as root from path group by word)
+select w.word, form, coalesce(root, w.word) as root, w.n, coalesce(n_near, 0) as n_near, form_n
+from w left join best using (word) left join forms using (word) left join ends using (word)
+"""
+
+ORACLE["op13_truncation_peeling"] = f"""
+with {_CRC_TABLE},
+src as (
+  select conv_id as c, coalesce(role, '') as r, coalesce(text, '') as x, row_number() over (partition by conv_id order by turn nulls first) - 1 as pos
+  from conversations where conv_id is not null),
+lens as (select c, count(*) as own from src group by c),
+ids as (
+  select l.c, l.c - l.c % 5 as donor, h, least(h, coalesce(o.own, 0)) as taken
+  from (select c, {_crc_sql("c::varchar")} % 9 as h from lens, crc) l left join lens o on o.c = l.c - l.c % 5),
+turns as (
+  select ids.c, pos + 1 as d, r, x from ids join src on src.c = donor where pos < taken
+  union all select ids.c, taken + pos - h + 1, r, x from ids join src on src.c = ids.c where pos >= h),
+full_paths as (select ids.c, coalesce(p, []) as p from ids left join (select c, list({{'r': r, 'x': x}} order by d) as p from turns group by c) using (c)),
+cut as (select c, p as whole, p[1:d] as p, d from (select c, p, unnest(range(0, len(p) + 1)) as d from full_paths)),
+nodes as (
+  select d, p, min(c) as c, count(*) as n, string_agg(c::varchar, ',' order by c) filter (where len(whole) = d) as ends from cut group by d, p),
+kids as (select d - 1 as d, p[1:d - 1] as p, count(*) as n_children from nodes where d > 0 group by 1, 2),
+own as (
+  select n.d, n.p, n.c, n.n, n.ends, coalesce(n_children, 0) as n_children, case when n.d > 0 then (n.n - 1) * octet_length(encode(n.p[n.d].x)) else 0 end as saved
+  from nodes n left join kids k on n.d = k.d and n.p = k.p),
+sums as (
+  select a as d, p[1:a] as p, sum((n_children = 0)::int) as n_leaves, sum(saved) as saved_tokens
+  from (select p, n_children, saved, unnest(range(0, d + 1)) as a from own) group by 1, 2)
+select o.c as conv_id, o.d as depth, up.c as parent_conv_id, o.n as n_convs, o.n_children, s.n_leaves::bigint as n_leaves, s.saved_tokens::bigint as saved_tokens, sha256(coalesce(o.ends, '')) as ends_sha256
+from own o join sums s on o.d = s.d and o.p = s.p left join nodes up on up.d = o.d - 1 and up.p = o.p[1:o.d - 1]
+"""
