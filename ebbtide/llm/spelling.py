@@ -181,8 +181,11 @@ def _key(equal: Column, rest: Column, side: Column, half: Column, other: Column,
     return F.xxhash64(side, half, other, h, equal, part)
 
 
-def near_pairs(words: DataFrame) -> DataFrame:
-    """(a, b, n_a, n_b): pairs of words (a < b) that one inserted, deleted or replaced code point tells apart, each once."""
+def candidates(words: DataFrame) -> DataFrame:
+    """(a, n_a, b, n_b): words a with a pivot that stands in the prefix of another word b, with one side and half of the other equal.
+
+    Holds every pair one edit apart, in one direction at least; a pair may come several times.
+    """
     signs = F.split("word", "")
     grams = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.char_length("word") - 1), lambda i: F.concat(F.element_at(signs, i), F.element_at(signs, i + 1)))).alias("gram"))
     # At most 90 x 90 bigrams: 26 + 64 letters.
@@ -209,7 +212,13 @@ def near_pairs(words: DataFrame) -> DataFrame:
     h = F.expr("least(left_over, left_over - longer) div 2").cast("int")
     asked = asked.select(_key(F.col("equal"), F.col("rest"), sides, F.col("half"), F.col("size") - F.col("longer"), h).alias("key"), F.col("word").alias("a"), F.col("n").alias("n_a"), F.col("last").alias("last_a"))
 
-    met = asked.join(index, "key").where((F.col("last_a") <= F.col("last_b")) & (F.col("a") != F.col("b")) & (F.levenshtein("a", "b", 1) == 1))
+    met = asked.join(index, "key").where((F.col("last_a") <= F.col("last_b")) & (F.col("a") != F.col("b")))
+    return met.select("a", "n_a", "b", "n_b")
+
+
+def near_pairs(words: DataFrame) -> DataFrame:
+    """(a, b, n_a, n_b): pairs of words (a < b) that one inserted, deleted or replaced code point tells apart, each once."""
+    met = candidates(words).where(F.levenshtein("a", "b", 1) == 1)  # part of the join's condition: only true pairs leave it
     swap = F.col("a") > F.col("b")
     pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(swap, F.col("n_b")).otherwise(F.col("n_a")).alias("n_a"), F.when(swap, F.col("n_a")).otherwise(F.col("n_b")).alias("n_b"))
     return pairs.distinct()
