@@ -1,7 +1,11 @@
 """Exactness of the distributed order statistics, with a value that holds a third of the rows."""
 
+import math
+import random
+
 import numpy as np
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -99,3 +103,43 @@ def test_cuts_weigh_repeated_keys(spark):
     # The window's rows are counts of keys.
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "row_number" not in plan and "__to" in plan
+
+
+def exact_quantile(values, p):
+    values = sorted(values)
+    at = p * (len(values) - 1)
+    lo, hi = values[math.floor(at)], values[math.ceil(at)]
+    return lo + (hi - lo) * (at - math.floor(at))
+
+
+@pytest.mark.parametrize("margin,rows", [(o.MARGIN, o.ROWS_PER_BUCKET), (1e-9, 7), (0.2, 5), (1.0, 3)])
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_quantiles_hold_whatever_the_sketch_and_the_parts(spark, margin, rows, by):
+    """A margin that misses ranks is widened, intervals are cut into parts; ties, single values, NULL, NaN and empty columns."""
+    rng = random.Random(7)
+    data = [(rng.choice(["a", "b", "b", "b", None]), rng.gauss(0, 1), float(rng.choice([1, 1, 1, 2, 5])), 3.5, rng.choice([None, float("nan"), rng.random()]), None, i) for i in range(900)]
+    df = spark.createDataFrame(data, "g string, x double, ties double, one double, holes double, none double, whole long").repartition(4)
+    cols, probs = ["x", "ties", "one", "holes", "none", "whole"], [0.0, 0.01, 0.1, 0.5, 0.77, 1.0]
+    got = {(*(r[c] for c in by), r.feature, r.prob): r.value for r in o.quantiles(df, cols, probs, by, margin=margin, rows=rows).collect()}
+    want = {}
+    for group in ([("a",), ("b",)] if by else [()]):
+        for i, c in enumerate(cols):
+            values = [float(r[i + 1]) for r in data if r[i + 1] is not None and r[i + 1] == r[i + 1] and (not by or r[0] == group[0])]
+            want |= {(*group, c, p): exact_quantile(values, p) for p in probs if values}
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
+
+
+def test_quantiles_of_nothing(spark):
+    none = spark.createDataFrame([], "g string, x double")
+    assert o.quantiles(none, ["x"], [0.5]).count() == 0 and o.quantiles(none, ["x"], [0.5], ["g"]).count() == 0
+    assert o.quantile_values(none, ["x"], [0.5, 1.0]) == {"x": [None, None]}
+    assert o.quantile_values(none, [], [0.5]) == {}
+
+
+def test_quantile_plan_keeps_the_table_in_place(spark):
+    """What leaves the scans of a continuous column is its intervals' values, a small share of the rows."""
+    df = spark.range(200_000).select(((F.col("id") * 7919) % 200_003).cast("double").alias("x"))
+    sketched = df.agg(F.kll_sketch_agg_double("x", F.lit(o.SKETCH_SIZE)).alias("__s0"))
+    slots, inside = o._intervals(df, sketched, [F.col("x")], [0.25, 0.5], [], o.MARGIN)
+    assert inside.count() < 200_000 * 2 * 4 * o.MARGIN and slots.where("rank_low < below or rank_high >= upto").count() == 0
