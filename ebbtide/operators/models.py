@@ -10,12 +10,12 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dbl
+from . import isotonic
 from .clean import align_features
 from .features import RISK_EDGES, RISK_LABELS, decide, risk_tier
 from .sampling import stratified_folds
@@ -148,16 +148,14 @@ def out_of_fold(train: DataFrame, est, features: Sequence[str], label: str, key:
     return out
 
 
-def calibrate_isotonic(scored: DataFrame, label: str, p: str = "probability") -> IsotonicRegressionModel:
-    """Monotone map from score to observed rate; equal scores are merged into one weighted row first."""
-    merged = scored.where(F.col(p).isNotNull()).groupBy(dbl(p).alias("x")).agg(
-        F.avg(dbl(label)).alias("y"), F.count(F.lit(1)).cast("double").alias("w"))
-    return IsotonicRegression(featuresCol="x", labelCol="y", weightCol="w").fit(merged)
+def calibrate_isotonic(scored: DataFrame, label: str, p: str = "probability") -> DataFrame:
+    """Monotone map from score to observed rate, as a table of blocks (see ``isotonic.fit``)."""
+    return isotonic.fit(scored, label, p)
 
 
-def apply_isotonic(df: DataFrame, model: IsotonicRegressionModel, p: str = "probability", name: str = "calibrated") -> DataFrame:
-    """Linear interpolation between the fitted points, constant outside them."""
-    return model.setFeaturesCol(p).setPredictionCol(name).transform(df)
+def apply_isotonic(df: DataFrame, blocks: DataFrame, p: str = "probability", name: str = "calibrated") -> DataFrame:
+    """Linear interpolation between the fitted blocks, constant outside them."""
+    return isotonic.apply(df, blocks, p, name)
 
 
 def importances(spark, model: PipelineModel, features: Sequence[str]) -> DataFrame:

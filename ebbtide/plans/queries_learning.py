@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import attribution, encode, evaluate, fairness, models
+from ..operators import attribution, encode, evaluate, fairness, isotonic, models
 from ..operators.features import audit_tier
 from ..session import staged
 from ..sources import tables as io
 from ..streaming import audit as st
+from ..streaming import drift as stream_drift
+from ..streaming import upsert
 from . import views as v
 from . import training
 from .queries_tables import AUDIT_CTE, PAYLOAD_CTE, _payload, audit_table, scratch, three_way
@@ -94,10 +96,21 @@ def _(spark, d):
     iso = models.calibrate_isotonic(models.out_of_fold(train, est, FEATURES, LABEL, KEY), LABEL)
     scored = models.raw_score(test, models.fit_logistic(train, FEATURES, LABEL, "weight"))
     both = models.apply_isotonic(scored, iso)
-    steps = list(iso.predictions)
     sq = lambda c: F.avg((F.col(c) - F.col(LABEL)) * (F.col(c) - F.col(LABEL)))
     return both.agg(F.count(F.lit(1)).alias("n_rows"), sq("probability").alias("brier_raw"), sq("calibrated").alias("brier_calibrated"),
-                    F.lit(all(a <= b for a, b in zip(steps, steps[1:]))).alias("monotone"))
+                    F.lit(isotonic.falls(iso) == 0).alias("monotone"))
+
+
+@query("isotonic_map", """select round(p, 6) p, count(*) n_rows, round(max(c), 6) calibrated from scored join (
+  select k, max(least_after) c from (
+    select j, k, min(v) over (partition by j order by k desc) least_after from (
+      select a.i j, b.i k, (b.cs - a.cs + a.s) / (b.cw - a.cw + a.w)::double v from merged a join merged b on b.i >= a.i)) group by k) on k = (select i from merged where merged.p = scored.p)
+  group by scored.p""", """
+  merged as (select p, sum(y)::double s, count(*)::double w, row_number() over (order by p) i, sum(sum(y)::double) over (order by p) cs, sum(count(*)::double) over (order by p) cw from scored group by p)""")
+def _(spark, d):
+    """Calibrated value of every distinct score of all accounts; in SQL the largest, over starts, of the least mean, over ends."""
+    rows = v.scored(spark, d)
+    return isotonic.apply(rows, isotonic.fit(rows, "y", "p"), "p").groupBy("p").agg(F.count(F.lit(1)).alias("n_rows"), F.max("calibrated").alias("calibrated"))
 
 
 @query("score")
@@ -198,6 +211,43 @@ def _(spark, d):
     return spark.read.parquet(out)
 
 
+FLAG_SQL = "region = 'APAC' and probability - 0.7::double >= 0 and probability - 0.7::double < 0.05::double"
+
+
+def by_day(rows, spark, name, folder_of=io.append_audit):
+    """Rows appended in five parts in the order of time, so that a stream meets them as several files."""
+    src = scratch(spark, name)
+    for lo, hi in zip(DAYS, [*DAYS[1:], None]):
+        part = rows.where(F.col("timestamp") >= F.lit(lo).cast("timestamp"))
+        folder_of(part if hi is None else part.where(F.col("timestamp") < F.lit(hi).cast("timestamp")), src)
+    return src
+
+
+DAYS = ["1970-01-01", "2024-01-07", "2024-01-13", "2024-01-19", "2024-01-25"]
+
+
+@query("running_stats_update", f"""select age_group, region, count(*) prediction_count, round(avg(probability), 4) avg_probability, count(*) filter (risk_tier = 'HIGH') high_risk_count,
+  count(*) filter ({FLAG_SQL}) fairness_flags_triggered from audit group by 1, 2""", AUDIT_CTE)
+def _(spark, d):
+    """Counters per protected group in update mode: files arrive in turn, changed groups are merged into the result."""
+    src, out, state = by_day(audit_table(spark, d), spark, "updates-log"), scratch(spark, "updates-out"), scratch(spark, "updates-state")
+    groups = ["protected_attributes.age_group", "protected_attributes.region"]
+    stats = st.running_stats(st.readable(st.audit_stream(spark, src, 4)), st.near_miss("protected_attributes.region", "APAC", 0.7), groups)
+    st.drain(stats, out, state, "update", keys=["age_group", "region"])
+    return upsert.read_latest(spark, out)
+
+
+@query("unreadable_lines", "select count(*) n_lines from audit", AUDIT_CTE)
+def _(spark, d):
+    """A broken copy of every audit row, set aside by the stream."""
+    src, out, state = scratch(spark, "broken-log"), scratch(spark, "broken-out"), scratch(spark, "broken-state")
+    rows = audit_table(spark, d)
+    io.append_audit(rows, src)
+    rows.select(F.concat(F.lit('{"timestamp": '), F.to_json(F.struct("*"))).alias("value")).write.mode("append").text(src)
+    st.drain(st.unreadable(st.audit_stream(spark, src)), out, state)
+    return spark.read.parquet(out).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 WEEK_SQL = "strftime(time_bucket(interval '7 days', ts, timestamp '1970-01-01'), '%Y-%m-%d')"
 
 
@@ -236,6 +286,47 @@ def _(spark, d):
     return spark.read.parquet(out).select(F.date_format("window_start", "yyyy-MM-dd").alias("window_start"), "n_groups", "n_rows", "gap", "alert")
 
 
+# Features of the events; the first week is the baseline, and one feature wanders off with the days.
+SIGNAL_CTE = """
+  signals as (select ts, value amount, ((event_id * 7919) % 1000) / 1000::double probability, value + 3 * extract(day from ts) wandering from events),
+  week0 as (select * from signals where ts < timestamp '2024-01-08')"""
+SIGNALS = ["amount", "probability", "wandering"]
+
+
+def signals(spark, d):
+    e = v.table(spark, d, "events")
+    return e.select(F.col("ts").cast("timestamp").alias("timestamp"), F.col("value").alias("amount"), ((F.col("event_id") * 7919) % 1000 / F.lit(1000.0)).alias("probability"),
+                    (F.col("value") + 3 * F.dayofmonth("ts")).alias("wandering"))
+
+
+def weekly_psi_sql(col: str) -> str:
+    """PSI of one column per week against the baseline's edges, straight from its definition."""
+    raw = f"len(list_filter(e, lambda z: z <= {col}))"
+    spot = f"case when {col} < e[1] or {col} > e[len(e)] then 0 else greatest(least({raw}, len(e) - 1), 1) end"
+    edges = f"(select list_sort(list_distinct(quantile_cont({col}, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1]))) e from week0)"
+    return f"""select window_start, '{col}' feature, max(inside)::bigint n_current, sum((pc - pe) * ln(pc / pe)) psi, max(outside / (inside + outside)::double) outside_share from (
+      select window_start, inside, outside, (e1 + 1) / (sum(e1) over w + count(*) over w)::double pe, (a1 + 1) / (inside + count(*) over w)::double pc from (
+        select window_start, b, coalesce(e1, 0) e1, coalesce(a1, 0) a1, inside, outside
+        from (select distinct {WEEK_SQL} window_start from signals where {CLOSED.replace('from audit', 'from signals')}) weeks
+        cross join (select unnest(range(1, len(e))) b from {edges})
+        left join (select {spot} b, count(*) e1 from week0, {edges} group by 1) using (b)
+        left join (select {WEEK_SQL} window_start, {spot} b, count(*) a1 from signals, {edges} group by 1, 2) using (window_start, b)
+        join (select {WEEK_SQL} window_start, count(*) filter ({spot} > 0) inside, count(*) filter ({spot} = 0) outside from signals, {edges} group by 1) using (window_start))
+      window w as (partition by window_start)) group by 1"""
+
+
+@query("windowed_psi", "select window_start, feature, n_current, round(psi, 6) psi, round(outside_share, 6) outside_share, case when psi > 0.2 then 'DRIFT' else 'OK' end status from ("
+       + " union all ".join(weekly_psi_sql(c) for c in SIGNALS) + ")", SIGNAL_CTE)
+def _(spark, d):
+    """Weekly drift of the stream against the first week: a window's index leaves the state when the watermark has passed it."""
+    rows = signals(spark, d)
+    baseline = stream_drift.baseline_bins(rows.where(F.col("timestamp") < F.lit("2024-01-08").cast("timestamp")), SIGNALS)
+    src, out, state = by_day(rows, spark, "signals", io.append_table), scratch(spark, "psi-out"), scratch(spark, "psi-state")
+    stream = spark.readStream.schema(rows.schema).parquet(src)
+    st.drain(stream_drift.windowed_psi(stream, baseline, retention="7 days"), out, state)
+    return spark.read.parquet(out).withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
+
+
 @query("score_stream")
 def _(spark, d):
     """Test accounts arriving as a stream, scored row by row, written as audit rows."""

@@ -25,6 +25,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on whatever file system it lies; nothing happens if it is gone already."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "csv") -> DataFrame:
     """One table. CSV has a header; NaN in double columns becomes NULL; a missing path raises."""
     if not path_exists(spark, path):
@@ -81,6 +87,10 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     return path
 
 
+def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
+    return write_table(df, path, fmt, "append")
+
+
 def file_fingerprint(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """File, size, number of rows and content hash of each file of a table.
 

@@ -6,7 +6,7 @@ same code is the reference for what the stream must produce.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Transformer
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import dbl, ratio
 from ..operators.models import score
 from ..sources.schemas import AUDIT
+from .upsert import upsert
 
 RETENTION = "90 days"
 WEEK = "7 days"
@@ -37,10 +38,16 @@ def unreadable(stream: DataFrame) -> DataFrame:
     return stream.where(F.col("timestamp").isNull())
 
 
-def running_stats(stream: DataFrame, flagged: Column | None = None) -> DataFrame:
-    """Totals since the start: count, mean score, HIGH count, fairness flags (0 unless a condition is given)."""
+def near_miss(attribute: str, value: str, edge: float, margin: float = 0.05) -> Column:
+    """A fairness flag: a row of the named group whose score passes the edge of its tier by less than the margin."""
+    over = dbl("probability") - F.lit(edge)
+    return (F.col(attribute) == value) & (over >= 0) & (over < margin)
+
+
+def running_stats(stream: DataFrame, flagged: Column | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Totals since the start, one row or one per group: count, mean score, HIGH count, fairness flags (rows that meet ``flagged``; 0 without a condition)."""
     flags = F.count_if(flagged) if flagged is not None else F.lit(0).cast("long")
-    return stream.groupBy().agg(
+    return stream.groupBy(*[F.col(c).alias(c.rsplit(".", 1)[-1]) for c in by]).agg(
         F.count(F.lit(1)).alias("prediction_count"), F.round(F.coalesce(F.avg(dbl("probability")), F.lit(0.0)), 4).alias("avg_probability"),
         F.count_if(F.col("risk_tier") == "HIGH").alias("high_risk_count"), flags.alias("fairness_flags_triggered"))
 
@@ -74,18 +81,18 @@ def score_stream(stream: DataFrame, model: Transformer, **kwargs) -> DataFrame:
     return score(stream, model, **kwargs)
 
 
-def drain(stream: DataFrame, out: str, checkpoint: str, mode: str = "append", fmt: str = "parquet") -> StreamingQuery:
+def drain(stream: DataFrame, out: str, checkpoint: str, mode: str = "append", fmt: str = "parquet", keys: Sequence[str] = ()) -> StreamingQuery:
     """Process what is available and stop. Append goes to a file sink; complete rewrites the result.
 
-    Update mode hands out changed rows only, which a rewritten folder can't hold: it is refused.
+    Update mode hands out changed rows only; they are merged by ``keys`` into a versioned folder (``upsert.read_latest`` reads it).
     """
-    if mode not in ("append", "complete"):
-        raise ValueError(f"drain can't keep the result of output mode {mode}")
+    if mode not in ("append", "complete", "update"):
+        raise ValueError(f"drain knows no output mode {mode}")
     writer = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).outputMode(mode)
     if mode == "append":
         query = writer.format(fmt).option("path", out).start()
     else:
-        query = writer.foreachBatch(_rewrite(out, fmt)).start()
+        query = writer.foreachBatch(upsert(out, keys) if mode == "update" else _rewrite(out, fmt)).start()
     query.awaitTermination()
     return query
 
