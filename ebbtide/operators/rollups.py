@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import dbl, numeric_columns
+from ..functions import dbl, numeric_columns, ratio
+from .ordering import small_side
 
 
 def latest_per_key(df: DataFrame, key: str, order: str, tiebreak: str, stitch: bool = False) -> DataFrame:
@@ -33,23 +34,36 @@ def two_hop(use: DataFrame, sub: DataFrame, via: str, key: str) -> DataFrame:
     return use.join(sub.select(via, key).distinct(), via, "left")
 
 
-def usage_rollup(use: DataFrame, key: str = "account_id") -> DataFrame:
-    """Eleven usage measures per account. Sums of nothing are 0, rows without a key are left out."""
-    def total(c: str):
-        return F.coalesce(F.sum(dbl(c)), F.lit(0.0))
-
-    return use.where(F.col(key).isNotNull()).groupBy(key).agg(
-        total("usage_count").alias("total_events"),
-        F.avg(dbl("usage_count")).alias("avg_daily_usage"),
-        total("usage_duration_secs").alias("total_duration_secs"),
-        F.avg(dbl("usage_duration_secs")).alias("avg_duration_secs"),
-        total("error_count").alias("total_errors"),
-        F.avg(dbl("error_count")).alias("avg_errors"),
-        F.count_distinct("usage_date").alias("active_days"),
-        F.max("usage_date").alias("last_activity_date"),
-        F.min("usage_date").alias("first_activity_date"),
-        F.count_distinct("feature_name").alias("unique_features_used"),
-        F.coalesce(F.sum(F.col("is_beta_feature").cast("long")), F.lit(0)).alias("beta_feature_usage"))
+USAGE = ("usage_count", "usage_duration_secs", "error_count")
+
+
+def usage_rollup(use: DataFrame, key: str = "account_id", sub: DataFrame | None = None, via: str = "subscription_id") -> DataFrame:
+    """Eleven usage measures per account. Sums of nothing are 0, rows without a key are left out.
+
+    With ``sub`` the facts reach their accounts through its map from ``via`` to ``key``. Distinct dates and features are counted from facts reduced to
+    a row per ``via`` and value before they join, each a narrow scan of its own; no row is multiplied to count two columns' values.
+    """
+    first = key if sub is None else via
+    facts = use.where(F.col(first).isNotNull())
+    # The map is written once, so its size is known when the joins are planned.
+    owner = None if sub is None else small_side(sub.where(F.col(via).isNotNull() & F.col(key).isNotNull()).select(via, key).distinct())
+
+    def owned(df: DataFrame) -> DataFrame:
+        return df if owner is None else df.join(owner, via)
+
+    totals = owned(facts).groupBy(key).agg(
+        *[x for c in USAGE for x in (F.sum(dbl(c)).alias(f"s_{c}"), F.count(dbl(c)).alias(f"n_{c}"))],
+        F.max("usage_date").alias("hi"), F.min("usage_date").alias("lo"), F.sum(F.col("is_beta_feature").cast("long")).alias("beta"))
+    days, features = (owned(facts.select(first, c).distinct()).select(key, c).distinct().groupBy(key).agg(F.count(c).alias(name))
+                      for c, name in (("usage_date", "active_days"), ("feature_name", "unique_features_used")))
+    total, mean = (lambda c: F.coalesce(f"s_{c}", F.lit(0.0))), (lambda c: ratio(f"s_{c}", f"n_{c}"))
+    return totals.join(days, key).join(features, key).select(
+        key,
+        total("usage_count").alias("total_events"), mean("usage_count").alias("avg_daily_usage"),
+        total("usage_duration_secs").alias("total_duration_secs"), mean("usage_duration_secs").alias("avg_duration_secs"),
+        total("error_count").alias("total_errors"), mean("error_count").alias("avg_errors"),
+        "active_days", F.col("hi").alias("last_activity_date"), F.col("lo").alias("first_activity_date"), "unique_features_used",
+        F.coalesce("beta", F.lit(0)).alias("beta_feature_usage"))
 
 
 def generic_rollup(df: DataFrame, key: str, stats: Sequence[str] = ("mean", "sum", "std"), prefix: str = "usage_",

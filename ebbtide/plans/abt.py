@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import numeric_columns, string_columns
 from ..operators.clean import (convert_types, drop_leakage, impute_categorical, impute_numeric, iqr_winsorize,
                                membership_flag, rename_prefixed)
-from ..operators.rollups import attach, latest_per_key, ticket_rollup, two_hop, usage_rollup
+from ..operators.rollups import attach, latest_per_key, ticket_rollup, usage_rollup
 from ..session import staged
 
 COLLIDING = ["plan_tier", "seats", "is_trial", "churn_flag"]
@@ -23,7 +23,7 @@ def build_abt(acc: DataFrame, sub: DataFrame, use: DataFrame, tic: DataFrame, ch
     the accounts' own flag (NULL counts as 0).
     """
     latest = rename_prefixed(latest_per_key(sub, "account_id", "start_date", "subscription_id", stitch), COLLIDING)
-    usage = usage_rollup(two_hop(use, sub, "subscription_id", "account_id"))
+    usage = usage_rollup(use, "account_id", sub)
     abt = drop_leakage(attach(acc, latest, usage, ticket_rollup(tic)))
     if churn_events is not None:
         return membership_flag(abt.drop(label), churn_events, "account_id", label)

@@ -97,8 +97,7 @@ def _(spark, d):
   round(avg_errors, 4) avg_errors, active_days, strftime(last_activity_date, '%Y-%m-%d %H:%M:%S') last_activity_date,
   strftime(first_activity_date, '%Y-%m-%d %H:%M:%S') first_activity_date, unique_features_used, beta_feature_usage from usage_agg""", digits=4)
 def _(spark, d):
-    use = rollups.two_hop(v.feature_usage(spark, d), v.subscriptions(spark, d), "subscription_id", "account_id")
-    return as_text(rollups.usage_rollup(use), "last_activity_date", "first_activity_date")
+    return as_text(rollups.usage_rollup(v.feature_usage(spark, d), "account_id", v.subscriptions(spark, d)), "last_activity_date", "first_activity_date")
 
 
 @query("generic_rollup", """select l_suppkey, count(*) n_rows, round(avg(l_quantity), 4) usage_l_quantity_mean, round(sum(l_quantity), 4) usage_l_quantity_sum,

@@ -1,11 +1,13 @@
 """The five-table set written as CSV, read, validated, merged and cleaned."""
 
+import datetime as dt
+import random
 import tempfile
 
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.operators import quality
+from ebbtide.operators import quality, rollups
 from ebbtide.plans.abt import build_abt, clean_abt
 from ebbtide.sources import schemas
 from ebbtide.sources import tables as io
@@ -107,3 +109,25 @@ def test_staging_uses_the_configured_folder(spark, raw):
 
     assert session.shared_dir(Session()) == f"{raw}/shared"
     assert sorted(r.id for r in session.staged(spark.range(3)).collect()) == [0, 1, 2]
+
+
+def test_usage_rollup_counts_without_multiplying_rows(spark):
+    """A subscription with most facts, one without an account, repeated map rows, facts without values: as counted one by one."""
+    rng = random.Random(3)
+    facts = [(rng.choice([1] * 20 + [2, 3, 4, 5, None]), dt.date(2024, 1, 1 + rng.randrange(20)) if rng.random() < 0.9 else None, rng.choice(["a", "b", "c", None]),
+              rng.choice([1.0, 2.5, None]), 2.0, None, rng.choice([0, 1, None])) for _ in range(500)]
+    owners = [(1, 10), (1, 10), (2, 10), (3, 20), (4, None), (6, 30)]
+    use = spark.createDataFrame(facts, "subscription_id int, usage_date date, feature_name string, usage_count double, usage_duration_secs double, error_count double, is_beta_feature int")
+    got = rollups.usage_rollup(use, "account_id", spark.createDataFrame(owners, "subscription_id int, account_id int"))
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+    rows = {r.account_id: r for r in got.collect()}
+    assert set(rows) == {10, 20}
+    for account, subs in ((10, {1, 2}), (20, {3})):
+        mine = [f for f in facts if f[0] in subs]
+        r, counts = rows[account], [f[3] for f in mine if f[3] is not None]
+        assert (r.active_days, r.unique_features_used) == (len({f[1] for f in mine} - {None}), len({f[2] for f in mine} - {None}))
+        assert r.total_events == sum(counts) and r.avg_daily_usage == pytest.approx(sum(counts) / len(counts)) and r.total_duration_secs == 2.0 * len(mine)
+        assert r.total_errors == 0 and r.avg_errors is None and r.beta_feature_usage == sum(f[6] or 0 for f in mine)
+        assert (r.first_activity_date, r.last_activity_date) == (min(f[1] for f in mine if f[1]), max(f[1] for f in mine if f[1]))
+    direct = rollups.usage_rollup(use.withColumn("account_id", F.col("subscription_id"))).collect()
+    assert {r.account_id for r in direct} == {1, 2, 3, 4, 5}
