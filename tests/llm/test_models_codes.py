@@ -274,3 +274,28 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, d).collect()
     assert {r.doc_id for r in out} == set(ids)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "quality_classifier", "near_duplicates", "packing"]
+
+
+def test_word_store_ages_and_tells_equal_hashes_apart(monkeypatch):
+    """Ids don't depend on what the store has kept, also when words share a hash or the store is emptied again and again."""
+    import numpy as np
+    import pyarrow as pa
+
+    from ebbtide.llm import bpe
+
+    rng = np.random.default_rng(5)
+    batches = [pa.array([" ".join(f"w{k}x" if k % 7 else f"é{k}<|END|>" for k in rng.zipf(1.3, 40) % 3000) for _ in range(30)] + [None, ""]) for _ in range(12)]
+    plain = bpe.WordIds(bpe.default_path())
+    want = [plain.encode(b) for b in batches]
+    encode = plain.tokenizer.encode
+    for b, (ids, ends) in zip(batches[:2], want[:2]):
+        for i, text in enumerate(b.to_pylist()):
+            assert ids[ends[i]:ends[i + 1]].tolist() == [*encode(text or "", add_special_tokens=False).ids, bpe.END]
+    real = bpe.string_hashes
+    for kept, hashes in ((50, real), (700, real), (10**6, lambda d, s: real(d, s) % np.uint64(97)), (60, lambda d, s: real(d, s) % np.uint64(97))):
+        monkeypatch.setattr(bpe, "KEPT", kept)
+        monkeypatch.setattr(bpe, "string_hashes", hashes)
+        store = bpe.WordIds(bpe.default_path())
+        for b, (ids, ends) in zip(batches, want):
+            got = store.encode(b)
+            assert np.array_equal(got[0], ids) and np.array_equal(got[1], ends)
