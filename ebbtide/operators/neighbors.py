@@ -1,28 +1,30 @@
 """Exact nearest-neighbour joins without pairing all rows.
 
-Reference rows are assigned to the closest of a few pivot points. For each query
-the triangle inequality bounds its k-th neighbour distance and rules out every
-cell that cannot hold a neighbour. What is left is compared block by block
-(bounded rows on both sides, NumPy inside the task) and each block emits its k
-best only, so neither a group nor the output ever holds all pairs.
-
-Copies are collapsed first: of identical reference vectors only the k + 1
-smallest keys can ever be neighbours, and identical queries share one search.
+Reference rows are assigned to the closest of a few pivot points, and inside a pivot's cell to rings by their distance from it: a block
+is a ring, or a part of one that holds too many rows. A query first looks into the ring of its own cell that lies as far from the
+pivot as it does itself; the k-th best distance there bounds its search. By the triangle inequality a block can hold a neighbour only if its ring
+lies within that bound of the query's own distance from the pivot. Blocks that can are compared (bounded rows on both sides, NumPy inside the task)
+and emit each query's k best only, so neither a group nor the output ever holds all pairs.
+
+Copies are collapsed first: of identical reference vectors only the k + 1 smallest keys can ever be neighbours (Spark keeps that many per
+task before it shuffles them), and identical queries share one search. Only pivots and a few numbers per pivot reach this process.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import dbl
 from ..session import staged
+from .ordering import small_side
 
 SLACK = 1e-9
 
@@ -34,13 +36,16 @@ def _vectors(df: DataFrame, key: str, features: Sequence[str] | str) -> DataFram
     return rows.where(F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull()))
 
 
-def _vector_id():
-    """128 bits that stand for a vector: two 64-bit hashes of its two reading directions."""
-    return F.concat_ws(":", F.xxhash64("v").cast("string"), F.xxhash64(F.reverse("v")).cast("string"))
+def _vector_id() -> Column:
+    """128 bits that stand for a vector: two 64-bit hashes, the second of another reading and with a number in front."""
+    return F.concat_ws(":", F.xxhash64("v").cast("string"), F.xxhash64(F.lit(1), F.reverse("v")).cast("string"))
 
 
-def _matrix(v: pd.Series) -> np.ndarray:
-    return np.array(v.tolist(), dtype=float)
+def _matrix(v: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    v = v.combine_chunks() if isinstance(v, pa.ChunkedArray) else v
+    if not len(v):
+        return np.zeros((0, 1))
+    return v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1)
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -53,6 +58,132 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+@dataclass(frozen=True)
+class Pivots:
+    """What tasks know of the index: a few numbers per pivot. ``inner`` are the smallest radii of each cell, ``owner`` their cells."""
+
+    at: np.ndarray
+    far: np.ndarray
+    rings: np.ndarray
+    inner: np.ndarray
+    owner: np.ndarray
+    keep: int
+
+    def reach(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(distances from the pivots, upper bound of the ``keep``-th neighbour's distance) of some queries."""
+        d = _distances(vectors, self.at)
+        bounds = d[:, self.owner] + self.inner[None, :]
+        if bounds.shape[1] < self.keep:
+            return d, np.full(len(d), np.inf)
+        return d, np.partition(bounds, self.keep - 1, axis=1)[:, self.keep - 1]
+
+
+@dataclass(frozen=True)
+class Index:
+    """Reference rows by pivot and ring. ``cells``: key, v, cell, ring, radius; ``blocks``: cell, ring, lo, hi, n_ref, parts."""
+
+    cells: DataFrame
+    blocks: DataFrame
+    pivots: Pivots
+
+
+def build_index(refs: DataFrame, keep: int, block_rows: int = 2048) -> Index | None:
+    """The index of (key, v) rows, or None without rows; ``keep`` copies of equal vectors stay."""
+    copies = Window.partitionBy("v").orderBy("key")
+    reduced = staged(refs.withColumn("__c", F.row_number().over(copies)).where(F.col("__c") <= keep).select("key", "v"))
+    n = reduced.count()
+    if not n:
+        return None
+    # Pivots grow with the square root of the rows; cells that hold more than their share are cut into rings.
+    picked = reduced.orderBy(F.xxhash64("v"), "key").limit(max(1, math.isqrt(n) // 4)).select("v").collect()
+    pivots = np.unique(np.array([r["v"] for r in picked], dtype=float), axis=0)
+
+    def to_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                d = _distances(_matrix(batch.column(1)), pivots)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(d.argmin(axis=1).astype(np.int32)), pa.array(d.min(axis=1))], ["key", "v", "cell", "radius"])
+
+    kind = reduced.schema["key"].dataType.simpleString()
+    cells = staged(reduced.mapInArrow(to_cell, f"key {kind}, v array<double>, cell int, radius double"))
+    closest = F.row_number().over(Window.partitionBy("cell").orderBy("radius"))
+    inner = cells.select("cell", "radius", closest.alias("__r")).where(F.col("__r") <= keep).groupBy("cell").agg(F.collect_list("radius").alias("near"))
+    per_cell = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("radius").alias("far")).join(inner, "cell").collect()  # a row per pivot
+    far, rings = np.full(len(pivots), -np.inf), np.ones(len(pivots), np.int64)
+    for r in per_cell:
+        far[r["cell"]], rings[r["cell"]] = r["far"], -(-r["n"] // block_rows)
+    told = cells.sparkSession.createDataFrame([(r["cell"], r["far"], int(rings[r["cell"]])) for r in per_cell], "cell int, far double, rings long")
+    ring = F.when(F.col("far") > 0, F.least(F.floor(F.col("radius") / F.col("far") * F.col("rings")), F.col("rings") - 1)).otherwise(0).cast("long")
+    cells = cells.join(told, "cell").select("key", "v", "cell", ring.alias("ring"), "radius")
+    blocks = cells.groupBy("cell", "ring").agg(F.min("radius").alias("lo"), F.max("radius").alias("hi"), F.count(F.lit(1)).alias("n_ref"))
+    blocks = small_side(blocks.withColumn("parts", F.ceil(F.col("n_ref") / F.lit(block_rows)).cast("int")))
+    owner = np.concatenate([np.full(len(r["near"]), r["cell"]) for r in per_cell])
+    return Index(cells, blocks, Pivots(pivots, far, rings, np.concatenate([np.array(r["near"]) for r in per_cell]), owner, keep))
+
+
+def _met(index: Index, queries: DataFrame, block_rows: int, best, schema: str, spread: bool = True) -> DataFrame:
+    """``best`` of every (part of a block's queries, part of a block): queries (qid, v, cell, ring) meet all parts of their block, or one of them."""
+    asked = queries.groupBy("cell", "ring").agg(F.count(F.lit(1)).alias("n_query"))
+    sizes = small_side(index.blocks.join(asked, ["cell", "ring"]).select("cell", "ring", "parts", F.ceil(F.col("n_query") / F.lit(block_rows)).cast("int").alias("shares")))
+    mine = F.pmod(F.xxhash64("qid"), F.col("shares")).cast("int").alias("share")
+    parts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)) if spread else F.pmod(F.xxhash64("qid", F.lit(1)), F.col("parts")).cast("int")
+    left = queries.join(sizes, ["cell", "ring"]).select("qid", "v", "cell", "ring", mine, parts.alias("part"))
+    right = index.cells.join(sizes, ["cell", "ring"]).select(
+        "key", "v", "cell", "ring", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
+    on = ["cell", "ring", "part", "share"]
+    return left.groupBy(*on).cogroup(right.groupBy(*on)).applyInArrow(best, schema)
+
+
+def _query_batches(pivots: Pivots, unique: DataFrame, schema: str, rows) -> DataFrame:
+    """``rows(batch, distances from the pivots, bound)`` of the queries, in slices that keep the distance table small."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(1, 2_000_000 // max(1, len(pivots.inner)))
+        for batch in batches:
+            for lo in range(0, batch.num_rows, step):
+                part = batch.slice(lo, step)
+                yield rows(part, *pivots.reach(_matrix(part.column("v"))))
+
+    return unique.mapInArrow(run, schema)
+
+
+def search_plan(index: Index, unique: DataFrame, block_rows: int = 2048) -> DataFrame:
+    """(qid, v, cell, ring): the blocks that each query (qid, v) has to be compared with."""
+    pivots = index.pivots
+    keep, rings, far = pivots.keep, pivots.rings, pivots.far
+
+    def home(part: pa.RecordBatch, d: np.ndarray, bound: np.ndarray) -> pa.RecordBatch:
+        cell = np.where(far >= 0, d, np.inf).argmin(axis=1)
+        own = d[np.arange(len(d)), cell]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ring = np.where(far[cell] > 0, np.minimum(own / far[cell] * rings[cell], rings[cell] - 1), 0)
+        return pa.RecordBatch.from_arrays([part.column("qid"), part.column("v"), pa.array(cell.astype(np.int32)), pa.array(ring.astype(np.int64)), pa.array(bound)], ["qid", "v", "cell", "ring", "bound"])
+
+    def kth(a: pa.Table, b: pa.Table) -> pa.Table:
+        if a.num_rows and b.num_rows >= keep:
+            limit = np.concatenate([np.partition(_distances(_matrix(a["v"].slice(lo, 256)), _matrix(b["v"])), keep - 1, axis=1)[:, keep - 1] for lo in range(0, a.num_rows, 256)])
+            return pa.table({"qid": a["qid"], "limit": pa.array(limit)})
+        return pa.table({"qid": pa.array([], pa.string()), "limit": pa.array([], pa.float64())})
+
+    at_home = staged(_query_batches(pivots, unique, "qid string, v array<double>, cell int, ring long, bound double", home))
+    found = _met(index, at_home, block_rows, kth, "qid string, limit double", spread=False)
+    bounded = at_home.join(found, "qid", "left").select("qid", "v", F.least("bound", F.coalesce("limit", "bound")).alias("bound"))
+
+    def near(part: pa.RecordBatch, d: np.ndarray, _: np.ndarray) -> pa.RecordBatch:
+        limit = part.column("bound").to_numpy(zero_copy_only=False) * (1 + SLACK) + SLACK
+        row, cell = np.nonzero(d - far[None, :] <= limit[:, None])
+        take = part.take(pa.array(row))
+        return pa.RecordBatch.from_arrays([take.column("qid"), take.column("v"), pa.array(cell.astype(np.int32)), pa.array(d[row, cell]), pa.array(limit[row])], ["qid", "v", "cell", "away", "limit"])
+
+    reached = _query_batches(pivots, bounded, "qid string, v array<double>, cell int, away double, limit double", near)
+    rings_near = reached.join(index.blocks.select("cell", "ring", "lo", "hi"), "cell").where((F.col("away") - F.col("hi") <= F.col("limit")) & (F.col("lo") - F.col("away") <= F.col("limit")))
+    return staged(rings_near.select("qid", "v", "cell", "ring"))
+
+
+def compared_pairs(index: Index, plan: DataFrame) -> int:
+    """How many (query, reference) pairs the search computes."""
+    return plan.join(index.blocks, ["cell", "ring"]).agg(F.sum("n_ref")).first()[0] or 0
+
+
 def nearest_neighbors(queries: DataFrame, refs: DataFrame, key: str, features: Sequence[str] | str, k: int = 5,
                       exclude_self: bool = True, ref_key: str | None = None, block_rows: int = 2048) -> DataFrame:
     """(key, neighbor, distance, position): the k nearest reference rows of each query row.
@@ -63,88 +194,31 @@ def nearest_neighbors(queries: DataFrame, refs: DataFrame, key: str, features: S
     q, r = _vectors(queries, key, features), _vectors(refs, ref_key or key, features)
     keep = k + 1 if exclude_self else k
     key_type = r.schema["key"].dataType
-    copies = Window.partitionBy("v").orderBy("key")
-    reduced = r.withColumn("__c", F.row_number().over(copies)).where(F.col("__c") <= keep).select("key", "v")
-    reduced = staged(reduced)
-    unique = q.groupBy("v").agg(F.count(F.lit(1)).alias("n")).select(_vector_id().alias("qid"), "v")
-
-    n_refs = reduced.count()
-    p = max(1, math.isqrt(n_refs) // 4)
-    pivots = _matrix(pd.Series([x["v"] for x in reduced.orderBy(F.xxhash64("v"), "key").limit(p).collect()]))
-    if not len(pivots):
+    index = build_index(r, keep, block_rows)
+    if index is None:
         return q.select("key", F.lit(None).cast(key_type).alias("neighbor"), F.lit(0.0).alias("distance"),
                         F.lit(0).alias("position")).limit(0)
 
-    def to_cell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                d = _distances(_matrix(pdf["v"]), pivots)
-                yield pdf.assign(cell=d.argmin(axis=1).astype("int32"), radius=d.min(axis=1))
-
-    cell_schema = T.StructType([T.StructField("key", key_type), T.StructField("v", T.ArrayType(T.DoubleType())),
-                                T.StructField("cell", T.IntegerType()), T.StructField("radius", T.DoubleType())])
-    cells = staged(reduced.mapInPandas(to_cell, cell_schema))
-    closest = Window.partitionBy("cell").orderBy("radius")
-    sizes = {x["cell"]: x for x in cells.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("n"), F.max("radius").alias("far")).collect()}
-    near: dict[int, list[float]] = {}
-    for x in cells.withColumn("__r", F.row_number().over(closest)).where(F.col("__r") <= keep).select("cell", "radius").collect():
-        near.setdefault(x["cell"], []).append(x["radius"])
-    ids = np.array(sorted(sizes), dtype="int32")
-    far = np.array([sizes[i]["far"] for i in ids])
-    inner = np.concatenate([np.array(near[i]) for i in ids])
-    owner = np.concatenate([np.full(len(near[i]), j) for j, i in enumerate(ids)])
-    ref_blocks = {int(i): -(-sizes[i]["n"] // block_rows) for i in ids}
-
-    def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            step = max(1, 2_000_000 // len(inner))
-            for lo in range(0, len(pdf), step):
-                part = pdf.iloc[lo:lo + step]
-                d = _distances(_matrix(part["v"]), pivots[ids])
-                bounds = d[:, owner] + inner[None, :]
-                m = min(keep, bounds.shape[1])
-                limit = np.partition(bounds, m - 1, axis=1)[:, m - 1] if m == keep else np.full(len(part), np.inf)
-                row, c = np.nonzero(d - far[None, :] <= limit[:, None] * (1 + SLACK) + SLACK)
-                yield pd.DataFrame({"qid": part["qid"].to_numpy()[row], "v": part["v"].to_numpy()[row], "cell": ids[c]})
-
-    wanted = staged(unique.mapInPandas(candidates, "qid string, v array<double>, cell int"))
-    query_blocks = {x["cell"]: -(-x["n"] // block_rows) for x in wanted.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-
-    def blocks_of(counts: dict[int, int]):
-        pairs = [F.lit(x) for kv in counts.items() for x in (int(kv[0]), int(kv[1]))]
-        return F.coalesce(F.element_at(F.create_map(*pairs), F.col("cell")), F.lit(1))
-
-    def spread(total, this: str, other: str, own_blocks, id_col: str) -> DataFrame:
-        """Rows get their own block by hash and are repeated for every block of the other side."""
-        return total.withColumn(this, F.pmod(F.xxhash64(id_col), own_blocks).cast("int")).withColumn(
-            other, F.explode(F.sequence(F.lit(0), (blocks_of(query_blocks if other == "qb" else ref_blocks) - 1).cast("int"))))
-
-    left = spread(wanted, "qb", "rb", blocks_of(query_blocks), "qid")
-    right = spread(cells.select("key", "v", "cell"), "rb", "qb", blocks_of(ref_blocks), "key")
-
-    def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if not len(a) or not len(b):
-            return pd.DataFrame({"qid": pd.Series(dtype=object), "neighbor": b["key"].iloc[:0], "distance": pd.Series(dtype=float)})
-        b = b.sort_values("key")
-        keys, vs, qids = b["key"].to_numpy(), _matrix(b["v"]), a["qid"].to_numpy()
-        av, parts = _matrix(a["v"]), []
-        for lo in range(0, len(a), 256):
-            d = _distances(av[lo:lo + 256], vs)
-            m = min(keep, d.shape[1])
-            limit = np.partition(d, m - 1, axis=1)[:, m - 1]
-            row, c = np.nonzero(d <= limit[:, None])
-            dist = d[row, c]
-            order = np.lexsort((c, dist, row))
-            row, c, dist = row[order], c[order], dist[order]
-            place = np.arange(len(row)) - np.searchsorted(row, row)
-            ok = place < m
-            parts.append(pd.DataFrame({"qid": qids[lo + row[ok]], "neighbor": keys[c[ok]], "distance": dist[ok]}))
-        return pd.concat(parts, ignore_index=True)
-
-    found_schema = T.StructType([T.StructField("qid", T.StringType()), T.StructField("neighbor", key_type),
-                                 T.StructField("distance", T.DoubleType())])
-    found = left.groupBy("cell", "rb", "qb").cogroup(right.groupBy("cell", "rb", "qb")).applyInPandas(compare, found_schema)
+    def compare(a: pa.Table, b: pa.Table) -> pa.Table:
+        parts = []
+        if a.num_rows and b.num_rows:
+            b = b.sort_by("key")
+            keys, vs, qids = b["key"].combine_chunks(), _matrix(b["v"]), a["qid"].combine_chunks()
+            for lo in range(0, a.num_rows, 256):
+                d = _distances(_matrix(a["v"].slice(lo, 256)), vs)
+                m = min(keep, d.shape[1])
+                limit = np.partition(d, m - 1, axis=1)[:, m - 1]
+                row, c = np.nonzero(d <= limit[:, None])
+                dist = d[row, c]
+                order = np.lexsort((c, dist, row))
+                row, c, dist = row[order], c[order], dist[order]
+                ok = np.arange(len(row)) - np.searchsorted(row, row) < m
+                parts.append(pa.table({"qid": qids.take(pa.array(lo + row[ok])), "neighbor": keys.take(pa.array(c[ok])), "distance": pa.array(dist[ok])}))
+        return pa.concat_tables(parts) if parts else pa.table({"qid": pa.array([], pa.string()), "neighbor": b["key"].slice(0, 0), "distance": pa.array([], pa.float64())})
+
+    unique = q.select("v").distinct().select(_vector_id().alias("qid"), "v")
+    plan = search_plan(index, unique, block_rows)
+    found = _met(index, plan, block_rows, compare, f"qid string, neighbor {key_type.simpleString()}, distance double")
     per_query = Window.partitionBy("qid").orderBy("distance", "neighbor")
     best = found.withColumn("__p", F.row_number().over(per_query)).where(F.col("__p") <= keep).drop("__p")
     out = q.select("key", _vector_id().alias("qid")).join(best, "qid")

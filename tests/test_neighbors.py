@@ -102,3 +102,34 @@ def test_attribute_transfer(spark):
     made = spark.createDataFrame([(7, 1.0), (8, 9.0), (9, 5.0)], "sid long, a double")
     out = neighbors.transfer_attribute(made, real, "sid", "rid", ["a"], "grp")
     assert {r.sid: r.grp for r in out.collect()} == {7: "x", 8: "y", 9: "x"}
+
+
+def test_clustered_data_is_pruned_in_cells_and_rings(spark):
+    """Tight clusters along a line: a query's ring and its neighbours hold the answer, so most pairs are never computed."""
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.normal((10.0 * c, 0, 0), (0.5, 0.02, 0.02), (250, 3)) for c in range(12)])
+    pts = {int(i): v for i, v in enumerate(x)}
+    df = table(spark, pts).repartition(4)
+    vectors = neighbors._vectors(df, "id", "v")
+    index = neighbors.build_index(vectors, 4, block_rows=32)
+    unique = vectors.select("v").distinct().select(neighbors._vector_id().alias("qid"), "v")
+    pairs = neighbors.compared_pairs(index, neighbors.search_plan(index, unique, 32))
+    assert pairs < 0.1 * len(pts) ** 2
+    some = {i: pts[i] for i in range(0, len(pts), 37)}
+    check(neighbors.nearest_neighbors(table(spark, some), df, "id", "v", 3, block_rows=32), brute(some, pts, 3, True))
+
+
+def test_equal_radii_are_cut_into_parts(spark):
+    """All references lie on one circle around the pivots' middle: rings can't tell them apart, parts of bounded size can."""
+    angle = np.linspace(0, 2 * np.pi, 300, endpoint=False)
+    pts = {int(i): np.array([np.cos(a), np.sin(a), 5.0]).round(6) for i, a in enumerate(angle)}
+    df = table(spark, pts)
+    check(neighbors.nearest_neighbors(df, df, "id", "v", 2, block_rows=8), brute(pts, pts, 2, True))
+
+
+def test_one_feature_and_vectors_that_read_the_same_backwards(spark):
+    pts = {i: np.array([float(i % 50)]) for i in range(200)}
+    df = table(spark, pts)
+    check(neighbors.nearest_neighbors(df, df, "id", "v", 3, block_rows=16), brute(pts, pts, 3, True))
+    none = df.where("false")
+    assert neighbors.nearest_neighbors(df, none, "id", "v").count() == 0 and neighbors.nearest_neighbors(none, df, "id", "v").count() == 0
