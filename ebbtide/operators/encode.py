@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dbl
+from ..session import staged
 from .clean import value_counts
 from .ordering import small_side, sorted_codes
 
@@ -32,12 +35,21 @@ def label_encode_apply(df: DataFrame, mapping: DataFrame, cols: Sequence[str], s
     return out
 
 
-def levels(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted distinct values per column; each becomes an output column (many levels: ``one_hot_slots``)."""
-    rows = value_counts(df, cols).select("feature", "value").collect()
+#: Levels that a column may have to become columns.
+MOST_LEVELS = 1000
+
+
+def levels(df: DataFrame, cols: Sequence[str], most: int = MOST_LEVELS) -> dict[str, list[str]]:
+    """Sorted distinct values per column; each becomes an output column. A column with more than ``most`` fails: ``one_hot_vector`` has no such limit."""
+    line = Window.partitionBy("feature").orderBy("value")
+    # Spark keeps no more than that many per column and task before it shuffles.
+    first = value_counts(df, cols).select("feature", "value", F.row_number().over(line).alias("__at")).where(F.col("__at") <= most + 1)
     found: dict[str, list[str]] = {c: [] for c in cols}
-    for r in rows:
+    for r in first.collect():
         found[r["feature"]].append(r["value"])
+    wide = [c for c, v in found.items() if len(v) > most]
+    if wide:
+        raise ValueError(f"more than {most} levels to make columns of: {wide}")
     return {c: sorted(v) for c, v in found.items()}
 
 
@@ -69,6 +81,29 @@ def one_hot_slots(df: DataFrame, cols: Sequence[str], name: str = "slots") -> Da
     return out.withColumn(name, F.array_compact(F.array(*slots))).drop(*[f"{c}__slot" for c in cols])
 
 
+def one_hot_vector(df: DataFrame, cols: Sequence[str], codes: DataFrame | None = None, name: str = "one_hot") -> tuple[DataFrame, DataFrame]:
+    """(``df`` plus one sparse vector of all columns' levels, the dictionary feature, value, code) for any number of levels.
+
+    ``codes`` from an earlier fit are applied as they are. A value without a code, and NULL, leaves its column's part empty. The dictionary is a joined table;
+    only each column's number of levels is known here, as the size of its part.
+    """
+    codes = staged(label_encode_fit(df, cols)) if codes is None else codes
+    sizes = {r["feature"]: r["n"] for r in codes.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+    out = label_encode_apply(df, codes, cols, suffix="__at")
+    known = [c for c in cols if sizes.get(c)]
+    for c in known:
+        # One category more, for what has no code: the encoder drops the last one. Its size is read off the column, not the rows.
+        told = {"ml_attr": {"type": "nominal", "name": f"{c}__at", "num_vals": sizes[c] + 1}}
+        out = out.withColumn(f"{c}__at", F.coalesce(f"{c}__at", F.lit(sizes[c])).cast("double").alias(f"{c}__at", metadata=told))
+    if known:
+        parts = [f"{c}__hot" for c in known]
+        out = OneHotEncoder(inputCols=[f"{c}__at" for c in known], outputCols=parts, dropLast=True).fit(out).transform(out)
+        out = VectorAssembler(inputCols=parts, outputCol=name).transform(out).drop(*parts)
+    else:
+        out = out.withColumn(name, array_to_vector(F.array().cast("array<double>")))
+    return out.drop(*[f"{c}__at" for c in cols]), codes
+
+
 def cardinality(df: DataFrame, cols: Sequence[str], approx: bool = False) -> dict[str, int]:
     count = F.approx_count_distinct if approx else F.count_distinct
     row = df.agg(*[count(F.col(c)).alias(c) for c in cols]).first()

@@ -6,13 +6,14 @@ the base table unless it aggregates events.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import clip, col, cut, dbl, elapsed_days, floor_ratio, ratio
-from .ordering import quantile_values, small_side, value_ranks
+from ..functions import clip, col, cut, dbl, elapsed_days, floor_ratio, no_nan, ratio
+from .ordering import quantile_values, rank_cut, small_side
 
 INF = float("inf")
 
@@ -143,14 +144,17 @@ def quantile_segment(df: DataFrame, column: str, labels: Sequence[str] = THIRDS,
 
 
 def rank_segment(df: DataFrame, column: str, key: str, labels: Sequence[str] = THIRDS, name: str = "mrr_segment") -> DataFrame:
-    """Segments on the rank over (value, key): always equal counts, whatever the ties."""
-    ranked = value_ranks(df, column, key, "__rank")
-    n = df.agg(F.count(column).alias("n")).scalar()
-    q = len(labels)
+    """Segments on the rank over (value, key): equal counts whatever the ties, as long as a key has one row per value.
+
+    Only the ranks at the borders are looked up, and rows compare themselves with them. NULL and NaN have no segment.
+    """
+    n, q = df.agg(F.count(no_nan(column)).alias("n")).first()["n"], len(labels)
     label = F.lit(labels[-1])
     for i in range(q - 2, -1, -1):
-        label = F.when(F.col("__rank") <= F.lit(1.0) + (n - F.lit(1)) * F.lit((i + 1) / q), F.lit(labels[i])).otherwise(label)
-    return ranked.withColumn(name, F.when(F.col("__rank").isNotNull(), label)).drop("__rank")
+        last = math.floor(1 + (n - 1) * ((i + 1) / q))  # the highest rank in segment i
+        if last >= 1:
+            label = F.when(rank_cut(df, column, key, last).within(dbl(column), F.col(key)), F.lit(labels[i])).otherwise(label)
+    return df.withColumn(name, F.when(no_nan(column).isNotNull(), label))
 
 
 def revenue_segment(df: DataFrame, column: str, name: str = "revenue_segment") -> DataFrame:
@@ -328,10 +332,10 @@ def heuristic_baseline(df: DataFrame, tickets_30d: str, usage_drop: str, tickets
 
 
 def monthly_trend(acc: DataFrame, events: DataFrame, key: str, signup: str, label: str, ts: str) -> DataFrame:
-    """Per calendar month: signups, label rate of those signups, accounts active."""
-    joined = acc.groupBy(F.date_trunc("month", F.col(signup)).cast("date").alias("month")).agg(
+    """Per calendar month: signups, label rate of those signups, accounts active. Rows without the date belong to no month."""
+    joined = acc.where(F.col(signup).isNotNull()).groupBy(F.date_trunc("month", F.col(signup)).cast("date").alias("month")).agg(
         F.count(F.lit(1)).alias("signups"), F.avg(dbl(label)).alias("label_rate"))
-    active = events.groupBy(F.date_trunc("month", F.col(ts)).cast("date").alias("month")).agg(
+    active = events.where(F.col(ts).isNotNull()).groupBy(F.date_trunc("month", F.col(ts)).cast("date").alias("month")).agg(
         F.count_distinct(key).alias("active_accounts"))
     return joined.join(active, "month", "full").select(
         "month", F.coalesce("signups", F.lit(0)).alias("signups"),

@@ -14,6 +14,7 @@ is exact whatever the borders are.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -263,6 +264,89 @@ def value_ranks(df: DataFrame, value: str, key: str, rank: str = "rank") -> Data
     return out.unionByName(rest.drop("__kb").withColumn(rank, F.lit(None).cast("long")))
 
 
+#: Split points of one narrowing step, and how many rows an interval may hold when its values are put in order.
+SPLITS = 63
+SELECT_ROWS = 50_000
+
+
+def value_at(df: DataFrame, column: str, rank: int, rows: int = SELECT_ROWS) -> tuple[object, int]:
+    """(value, rows below it) at a 0-based rank in ascending order, for a column of any orderable type without NULL.
+
+    The table stays where it is. A few rows drawn anew in each step split the interval that holds the rank; the rows in each part are counted by one
+    scan, and one part remains. A value that many rows share is a part of its own. What reaches the driver is split points and their counts.
+    """
+    part, kind, below = df.select(column), df.schema[column].dataType, 0
+    while True:
+        # Rows, not distinct values, are drawn: no row moves but the drawn ones.
+        drawn = part.orderBy(F.xxhash64(F.col(column), F.monotonically_increasing_id())).limit(SPLITS)
+        splits = sorted({r[0] for r in drawn.collect()})
+        if not splits:
+            raise ValueError(f"there is no rank {rank}")
+        marks = [F.lit(x).cast(kind) for x in splits]
+
+        def place(lo: int, hi: int) -> Column:
+            """2 i where the value lies between split i - 1 and split i, 2 i + 1 where it is split i."""
+            if lo == hi:
+                return F.lit(2 * lo) if lo == len(marks) else F.when(F.col(column) == marks[lo], 2 * lo + 1).otherwise(2 * lo)
+            mid = (lo + hi) // 2
+            return F.when(F.col(column) > marks[mid], place(mid + 1, hi)).otherwise(place(lo, mid))
+
+        counts = {r["at"]: r["count"] for r in part.groupBy(place(0, len(marks)).alias("at")).count().collect()}
+        for at in sorted(counts):
+            if below + counts[at] > rank:
+                break
+            below += counts[at]
+        else:
+            raise ValueError(f"there is no rank {rank}")
+        if at % 2:
+            return splits[at // 2], below
+        if at // 2 > 0:
+            part = part.where(F.col(column) > marks[at // 2 - 1])
+        if at // 2 < len(marks):
+            part = part.where(F.col(column) < marks[at // 2])
+        if counts[at] <= rows:
+            line = Window.partitionBy(F.lit(1)).orderBy(column)  # at most ``rows`` rows
+            each = part.groupBy(column).agg(F.count(F.lit(1)).alias("__n")).select(column, "__n", F.sum("__n").over(line).alias("__to"))
+            found = each.where(F.col("__to") > rank - below).orderBy(column).first()
+            return found[0], below + found["__to"] - found["__n"]
+
+
+@dataclass(frozen=True)
+class RankCut:
+    """Where a rank over (value, key) falls: rows below in value, or of equal value and up to the key, are the first ``rank``.
+
+    ``short`` of the rows of equal value and key don't belong to them (0 unless such rows repeat).
+    """
+
+    value: object
+    key: object
+    rank: int
+    short: int
+
+    def within(self, value: Column, key: Column) -> Column:
+        """Rows at or before the cut; NULL values never, NULL keys before all others."""
+        first = key.isNull() if self.key is None else key.isNull() | (key <= F.lit(self.key))
+        return F.coalesce((value < F.lit(self.value)) | ((value == F.lit(self.value)) & first), F.lit(False))
+
+    def at(self, value: Column, key: Column) -> Column:
+        return F.coalesce((value == F.lit(self.value)) & key.eqNullSafe(F.lit(self.key)), F.lit(False))
+
+
+def rank_cut(df: DataFrame, value: str, key: str, rank: int, rows: int = SELECT_ROWS) -> RankCut:
+    """The cut after the ``rank`` first rows (1-based) over (value, key); rows with a NULL or NaN value have no rank."""
+    held = df.select(no_nan(value).alias("__v"), F.col(key).alias("__k")).where("__v is not null")
+    v, below = value_at(held, "__v", rank - 1, rows)
+    ties = held.where(F.col("__v") == F.lit(v)).select("__k")
+    size = ties.agg(F.count(F.lit(1)).alias("n"), F.count("__k").alias("k")).first()
+    without = size["n"] - size["k"]
+    place = rank - 1 - below
+    if place < without:
+        return RankCut(v, None, rank, without - place - 1)
+    k, before = value_at(ties.where("__k is not null"), "__k", place - without, rows)
+    same = ties.where(F.col("__k") == F.lit(k).cast(df.schema[key].dataType)).count()
+    return RankCut(v, k, rank, without + before + same - place - 1)
+
+
 def _split_index(df: DataFrame, key: str) -> Column:
     """How many split points lie strictly below a key of any orderable type (NULL for NULL).
 
@@ -279,24 +363,24 @@ def _split_index(df: DataFrame, key: str) -> Column:
 
 
 def sorted_codes(distinct_values: DataFrame, value: str, by: Sequence[str] = (), code: str = "code") -> DataFrame:
-    """0-based position of each distinct value in sorted order, per ``by`` group.
+    """0-based position of each distinct value in sorted (text) order, per ``by`` group.
 
-    Works for any orderable type. Split points are the values with the smallest
-    hashes: a bounded, repeatable sample, so no driver round trip is needed.
+    The values are sorted by range over as many tasks as they fill and numbered where they lie; counts per task, and the smallest
+    number of each group, turn that into codes. Nothing but those counts meets in one place.
     """
     by = list(by)
-    sample = (distinct_values.select(F.col(value).cast("string").alias("v"))
-              .orderBy(F.xxhash64("v"), "v").limit(256)
-              .agg(F.array_sort(F.collect_set("v")).alias("s")).scalar())
-    b = (distinct_values.withColumn("__s", sample)
-         .withColumn("__bucket", F.size(F.filter("__s", lambda s: s < F.col(value).cast("string")))).drop("__s"))
-    per_bucket = b.groupBy(*by, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    earlier = Window.partitionBy(*by).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(*by, "__bucket", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__o"))
-    inside = Window.partitionBy(*by, "__bucket").orderBy(F.col(value).cast("string"))
-    return (b.join(offsets, by + ["__bucket"])
-            .withColumn(code, (F.col("__o") + F.row_number().over(inside) - 1).cast("long"))
-            .drop("__bucket", "__o"))
+    rows = distinct_values.withColumn("__text", F.col(value).cast("string"))
+    order = [*by, "__text"]
+    lined = staged(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__line", F.monotonically_increasing_id()))
+    part = F.shiftright("__line", 33)
+    sizes = lined.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"), F.min("__line").alias("__first"))
+    earlier = Window.partitionBy(F.lit(1)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
+    offsets = sizes.select("__part", (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first")).alias("__o"))
+    numbered = lined.withColumn("__part", part).join(small_side(offsets), "__part").withColumn("__line", F.col("__line") + F.col("__o")).drop("__part", "__o", "__text")
+    if not by:
+        return numbered.withColumnRenamed("__line", code)
+    first = small_side(numbered.groupBy(*by).agg(F.min("__line").alias("__0")))
+    return numbered.join(first, by).withColumn(code, F.col("__line") - F.col("__0")).drop("__line", "__0")
 
 
 HASH_BUCKETS = 4096

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -62,6 +63,12 @@ def null_summary(df: DataFrame) -> DataFrame:
         F.lit(kinds.count("string")).cast("long").alias("string_columns"))
 
 
+def type_histogram(df: DataFrame) -> DataFrame:
+    """(dtype, n_columns) for every type that a column has, from the schema alone."""
+    kinds = Counter(f.dataType.simpleString() for f in df.schema.fields)
+    return df.sparkSession.createDataFrame(sorted(kinds.items()), "dtype string, n_columns long")
+
+
 def missing_report(df: DataFrame, alert_pct: float = 5.0) -> DataFrame:
     """Missing count and share per column, highest first, with an alert flag."""
     one = df.agg(F.count(F.lit(1)).alias("n"),
@@ -161,6 +168,12 @@ def table_summary(df: DataFrame, label: str, capped: Sequence[str] = ()) -> Data
         F.lit(len(capped)).cast("long").alias("capped_columns"))
 
 
+def outlier_columns(report: DataFrame) -> DataFrame:
+    """Of an outlier report: columns looked at, columns in which something was capped, and values capped in all."""
+    outside = F.col("n_below") + F.col("n_above")
+    return report.agg(F.count(F.lit(1)).alias("n_columns"), F.count_if(outside > 0).alias("outliers_capped"), F.coalesce(F.sum(outside), F.lit(0)).alias("values_capped"))
+
+
 def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """count, mean, std, min and max per column from one aggregate."""
     aggs = []

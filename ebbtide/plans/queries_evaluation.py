@@ -150,6 +150,18 @@ def _(spark, d):
     return evaluate.quality_gates(evaluate.core_metrics(v.scored_models(spark, d), "y", "yhat", "p", by=["model"]), keep=["model"])
 
 
+@query("target_gates", """select model, metric, direction, gate, round(value, 6) as value, case direction when '>=' then value >= gate else value <= gate end passed from (
+  select model, unnest([{'metric': 'recall', 'direction': '>=', 'gate': 0.75::double, 'value': recall}, {'metric': 'f1', 'direction': '>=', 'gate': 0.65, 'value': f1},
+    {'metric': 'roc_auc', 'direction': '>=', 'gate': 0.8, 'value': roc_auc}, {'metric': 'pr_auc', 'direction': '>=', 'gate': 0.6, 'value': pr_auc},
+    {'metric': 'brier', 'direction': '<=', 'gate': 0.15, 'value': brier}], recursive := true) from model_metrics join pr_aucs using (model))""", AUC_CTE, """
+  pr_aucs as (select model, sum(pos / n_pos * (tp / (tp + fp) + coalesce((tp - pos) / nullif(tp - pos + fp - neg, 0), 1)) / 2) pr_auc from (
+      select model, pos, neg, sum(pos) over w tp, sum(neg) over w fp, sum(pos) over (partition by model) n_pos from score_counts window w as (partition by model order by p desc)) group by 1)""")
+def _(spark, d):
+    """All documented targets of both models, the area under the precision-recall curve among them."""
+    metrics = evaluate.core_metrics(v.scored_models(spark, d), "y", "yhat", "p", by=["model"], curve=True)
+    return evaluate.quality_gates(metrics, evaluate.TARGET_GATES, keep=["model"])
+
+
 @query("scoring_stats", """select count(*) prediction_count, round(avg(p), 4) avg_probability, count(*) filter (p >= 0.7::double) high_risk_count from scored""")
 def _(spark, d):
     return evaluate.scoring_stats(v.scored(spark, d).withColumn("risk_tier", features.audit_tier("p")), "p")

@@ -366,8 +366,7 @@ def _(spark, d):
   select date_trunc('month', signup_date) m, count(*) signups, avg(churn_flag) label_rate from accounts where signup_date is not null group by 1) full join
   (select date_trunc('month', start_date) m, count(distinct account_id) active_accounts from subscriptions group by 1) using (m)""")
 def _(spark, d):
-    a = v.accounts(spark, d).where(F.col("signup_date").isNotNull())
-    return features.monthly_trend(a, v.subscriptions(spark, d), "account_id", "signup_date", "churn_flag", "start_date").withColumn(
+    return features.monthly_trend(v.accounts(spark, d), v.subscriptions(spark, d), "account_id", "signup_date", "churn_flag", "start_date").withColumn(
         "month", F.date_format("month", "yyyy-MM"))
 
 
@@ -419,11 +418,10 @@ def _(spark, d):
   from abt, (select quantile_cont(mrr_amount, [1/3::double, 2/3::double]) q from abt)""", f"""
   ref as (select greatest((select max(last_activity_date) from usage_agg), (select max(o_orderdate) from orders)) ref),
   abt as (select *, greatest({days_sql('ref', 'signup_date')} / 30.4::double, 0.1::double) tm, case when billing_frequency = 'F' then 365 else 30 end cycle
-    from accounts join latest_sub using (account_id) join usage_agg using (account_id), ref)""")
+    from accounts left join latest_sub using (account_id) left join usage_agg using (account_id), ref)""")
 def _(spark, d):
-    """Features derived from the staged base table (accounts with a subscription and usage)."""
-    base = staged(build(spark, d).where(F.col("subscription_id").isNotNull() & F.col("total_events").isNotNull()))
-    out = churn.abt_features(base, annual_values=["f"])
+    """Features derived from the staged base table, for every account; without a subscription or usage they are missing."""
+    out = churn.abt_features(staged(build(spark, d)), annual_values=["f"])
     return out.select("account_id", "tenure_months", "tenure_bucket", F.round("usage_intensity", 4).alias("usage_intensity"), "active_day_ratio", "days_since_last_activity", "near_renewal", "mrr_segment")
 
 

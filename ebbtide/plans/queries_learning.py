@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import attribution, encode, evaluate, fairness, isotonic, models
-from ..operators.features import audit_tier
+from ..operators import artifact, attribution, encode, evaluate, fairness, isotonic, models
+from ..operators.features import audit_tier, risk_tier
 from ..session import staged
 from ..sources import tables as io
 from ..streaming import audit as st
@@ -20,12 +20,17 @@ FEATURES = ["balance", "n_orders", "max_spend", "avg_spend", "country"]
 LABEL, KEY = "churn_flag", "account_id"
 
 
+def accounts_split(spark, d):
+    """All accounts with the features as they come (missing ones are 0) and their split."""
+    return three_way(spark, d).select(KEY, LABEL, "industry", "split", *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in FEATURES])
+
+
 def prepared(spark, d):
-    """(train, test): features scaled by the training rows' statistics, both with class weights; written once."""
-    s = staged(three_way(spark, d).select(KEY, LABEL, "industry", "split", *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in FEATURES]))
-    fit = encode.standardize_fit(s.where(F.col("split") == "train"), FEATURES)
-    s = encode.standardize_apply(s, fit)
-    train = fairness.class_weights(s.where(F.col("split") == "train"), LABEL)
+    """(train, test): features scaled by the training rows' statistics, the training rows with class weights; written once."""
+    s = staged(accounts_split(spark, d))
+    train = s.where(F.col("split") == "train")
+    s = encode.standardize_apply(s, encode.standardize_fit(train, FEATURES))
+    train = staged(fairness.class_weights(s.where(F.col("split") == "train"), LABEL))
     return train, s.where(F.col("split") == "test")
 
 
@@ -113,15 +118,34 @@ def _(spark, d):
     return isotonic.apply(rows, isotonic.fit(rows, "y", "p"), "p").groupBy("p").agg(F.count(F.lit(1)).alias("n_rows"), F.max("calibrated").alias("calibrated"))
 
 
+CATEGORIES = ["industry"]
+
+
 @query("score")
 def _(spark, d):
-    """A saved and reloaded model over all accounts: rows, tiers and range of the scores."""
-    train, test = prepared(spark, d)
-    path = models.save_model(models.fit_logistic(train, FEATURES, LABEL, "weight"), scratch(spark, "models"), "churn", "1.0.0")
-    scored = models.score(test, models.load_model(path), FEATURES, keep=[KEY, LABEL])
+    """A whole artifact (scaling, levels, names, model), saved and reloaded, over the raw rows of all accounts: rows and range of the scores per tier."""
+    rows = staged(accounts_split(spark, d))
+    train = staged(fairness.class_weights(rows.where(F.col("split") == "train"), LABEL))
+    made = artifact.fit_artifact(train, FEATURES, CATEGORIES, [], models.logistic(train, LABEL, "weight"))
+    path = artifact.save_artifact(made, scratch(spark, "models"), "churn", "1.0.0")
+    scored = risk_tier(artifact.score_raw(rows, artifact.load_artifact(path), [KEY]), "probability")
     return scored.groupBy("risk_tier").agg(F.count(F.lit(1)).alias("n_rows"), F.min("probability").alias("min_probability"), F.max("probability").alias("max_probability"))
 
 
+GIVEN = {"balance": -0.4, "n_orders": 1.25, "max_spend": 0.3, "industry_BUILDING": 0.7, "industry_MACHINERY": -0.2}
+
+
+@query("artifact_scores", "select account_id, round(1 / (1 + exp(-(0.1::double" + "".join(
+    f" + {w}::double * coalesce(({c} - (select avg({c}) from accounts)) / (select stddev_pop({c}) from accounts), 0)" for c, w in GIVEN.items() if not c.startswith("industry"))
+    + "".join(f" + case when industry = '{c.split('_')[1]}' then {w}::double else 0 end" for c, w in GIVEN.items() if c.startswith("industry")) + "))), 6) probability from accounts")
+def _(spark, d):
+    """Given weights behind scaling and levels fitted on all accounts, saved, reloaded, and applied to their raw rows."""
+    rows = v.accounts(spark, d)
+    t = encode.ColumnTransform(["balance", "n_orders", "max_spend"], CATEGORIES, []).fit(rows)
+    path = artifact.save_artifact(artifact.linear_artifact(t, GIVEN, 0.1), scratch(spark, "models"), "given", "1")
+    return artifact.score_raw(rows, artifact.load_artifact(path), [KEY])
+
+
 SMALL = {"forest": {"trees": 10, "depth": 5}, "boosting": {"rounds": 5, "depth": 3}}
 
 

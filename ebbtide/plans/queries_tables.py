@@ -126,6 +126,22 @@ def _(spark, d):
     return quality.null_summary(v.holey(spark, d))
 
 
+@query("type_histogram", """select dtype, count(*) n_columns from (select unnest([
+  typeof(l_orderkey), typeof(l_partkey), typeof(l_suppkey), typeof(l_linenumber), typeof(l_quantity), typeof(l_extendedprice), typeof(l_discount), typeof(l_tax),
+  typeof(l_returnflag), typeof(l_linestatus), typeof(l_shipdate)]) t from lineitem limit 11) join (values ('BIGINT', 'bigint'), ('INTEGER', 'int'), ('DOUBLE', 'double'),
+  ('VARCHAR', 'string'), ('TIMESTAMP', 'timestamp_ntz'), ('DATE', 'date')) k(t, dtype) using (t) group by 1""")
+def _(spark, d):
+    return quality.type_histogram(v.table(spark, d, "lineitem"))
+
+
+@query("outlier_columns", " union all ".join(["select count(*) n_columns, count(*) filter (n > 0) outliers_capped, sum(n)::bigint values_capped from (" + " union all ".join(f"""
+  select count(*) filter ({c} < q[1] - 1.5 * (q[2] - q[1]) or {c} > q[2] + 1.5 * (q[2] - q[1])) n from {t},
+    (select quantile_cont({c}, [0.25, 0.75]) q from {t})""" for t, c in (("lineitem", "l_quantity"), ("lineitem", "l_extendedprice"), ("lineitem", "l_discount"), ("lineitem", "l_partkey"))) + ")"]))
+def _(spark, d):
+    """Columns of the line items in which winsorizing caps something, counted from the report."""
+    return quality.outlier_columns(clean.iqr_report(v.table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_partkey"]))
+
+
 @query("missing_report", """select column_name, missing_count, round(missing_count * 100::double / n, 6) missing_pct, dtype,
   missing_count * 100::double / n > 5 alert from (
   select unnest([{'column_name': 'l_orderkey', 'missing_count': 0, 'dtype': 'bigint'}, {'column_name': 'l_linenumber', 'missing_count': 0, 'dtype': 'int'},
