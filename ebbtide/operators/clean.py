@@ -122,10 +122,10 @@ def impute_categorical(df: DataFrame, cols: Sequence[str] | None = None, strateg
 
 
 def imputation_log(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], strategy: str = "median",
-                   cat_strategy: str = "mode") -> DataFrame:
-    """column, strategy, fill value and number of filled rows, for columns with NULLs."""
-    fills = [(c, strategy, v) for c, v in numeric_fill_fit(df, numeric, strategy).items()]
-    fills += [(c, cat_strategy, v) for c, v in categorical_fill_fit(df, categorical, cat_strategy).items()]
+                   cat_strategy: str = "mode", fitted: tuple[Mapping, Mapping] | None = None) -> DataFrame:
+    """column, strategy, fill value and number of filled rows, for columns with NULLs; ``fitted`` are fill values found before (numeric, categorical)."""
+    numbers, texts = fitted if fitted is not None else (numeric_fill_fit(df, numeric, strategy), categorical_fill_fit(df, categorical, cat_strategy))
+    fills = [(c, strategy, v) for c, v in numbers.items()] + [(c, cat_strategy, v) for c, v in texts.items()]
     one = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"m{i}") for i, (c, _, _) in enumerate(fills)])
     return wide_to_rows(one, [
         {"column_name": F.lit(c), "strategy": F.lit(s),

@@ -199,7 +199,8 @@ def accuracy_cost(metrics: DataFrame, baseline: str, model: str = "model") -> Da
 
 # Release gates and documented targets (metric, direction, limit).
 RELEASE_GATES = [("roc_auc", ">=", 0.80), ("recall", ">=", 0.65), ("f1", ">=", 0.60)]
-TARGET_GATES = [("recall", ">=", 0.75), ("f1", ">=", 0.65), ("roc_auc", ">=", 0.80), ("pr_auc", ">=", 0.60), ("brier", "<=", 0.15)]
+TARGET_GATES = [("recall", ">=", 0.75), ("pr_auc", ">=", 0.60), ("brier", "<=", 0.15)]
+DOCUMENTED_GATES = [("recall", ">=", 0.75), ("roc_auc", ">=", 0.80), ("f1", ">=", 0.65), ("pr_auc", ">=", 0.60), ("brier", "<=", 0.15)]
 
 
 def quality_gates(metrics: DataFrame, gates: Sequence[tuple[str, str, float]] = RELEASE_GATES, keep: Sequence[str] = ()) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dbl
+from ..session import staged
 from . import isotonic
 from .clean import align_features
 from .features import RISK_EDGES, RISK_LABELS, decide, risk_tier
@@ -111,7 +112,8 @@ def search_results(spark, model: CrossValidatorModel) -> DataFrame:
 def cross_validate(train: DataFrame, est, features: Sequence[str], label: str, key: str,
                    metrics: Sequence[str] = ("recall", "f1", "roc_auc"), folds: int = 5, seed: int = 42) -> dict[str, float]:
     """Mean score over stratified folds per metric; every fold is fitted once for all metrics."""
-    data = assembler(features).transform(stratified_folds(train, key, label, folds, seed))
+    # Folds are dealt once and written; each fit then reads its rows from files.
+    data = staged(assembler(features).transform(stratified_folds(train, key, label, folds, seed)))
     sums = dict.fromkeys(metrics, 0.0)
     for f in range(folds):
         scored = est.fit(data.where(F.col("fold") != f)).transform(data.where(F.col("fold") == f))
@@ -139,7 +141,7 @@ def score(df: DataFrame, model: Transformer, features: Sequence[str] | None = No
 
 def out_of_fold(train: DataFrame, est, features: Sequence[str], label: str, key: str, folds: int = 3, seed: int = 42) -> DataFrame:
     """(key, label, probability): each row scored by a model that never saw it."""
-    data = assembler(features).transform(stratified_folds(train, key, label, folds, seed))
+    data = staged(assembler(features).transform(stratified_folds(train, key, label, folds, seed)))
     out = None
     for f in range(folds):
         part = est.fit(data.where(F.col("fold") != f)).transform(data.where(F.col("fold") == f))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import dbl, pearson, ratio, sample_skewness
+from ..functions import dbl, no_nan, pearson, ratio, sample_skewness
 from .clean import value_counts
 from .ordering import quantile_values, quantiles, small_side
 from .quality import wide_to_rows
@@ -138,14 +140,72 @@ def class_shift(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
         "direction", F.when(F.col("diff_pct") < 0, "lower").when(F.col("diff_pct") >= 0, "higher"))
 
 
-def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Lower triangle of Pearson correlations over complete pairs; one scan for all pairs."""
+#: Up to so many columns, all pairs are aggregates of one plan; beyond, products of blocks of columns. The results are the same.
+FEW_COLUMNS = 12
+#: Columns of a block; one scan for each block.
+BLOCK_COLUMNS = 512
+
+
+def correlation_matrix(df: DataFrame, cols: Sequence[str], block: int = BLOCK_COLUMNS) -> DataFrame:
+    """Lower triangle of Pearson correlations over complete pairs; one scan for all pairs of up to ``block`` columns. NULL where a side doesn't vary."""
+    if len(cols) > FEW_COLUMNS:
+        return gram_correlations(df, cols, block)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[:i]]
     one = df.agg(*[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     return wide_to_rows(one, [{"feature_a": F.lit(a), "feature_b": F.lit(b), "r": F.col(f"r{i}")}
                               for i, (a, b) in enumerate(pairs)])
 
 
+def gram_correlations(df: DataFrame, cols: Sequence[str], block: int = BLOCK_COLUMNS) -> DataFrame:
+    """The same for hundreds or thousands of columns: each task multiplies its rows' matrix with itself, block by block, and the products are added up.
+
+    A pair counts the rows in which both are there, so the products with the mask of present values give each pair its own sums. Values are shifted by a
+    rough mean first, so that squares don't cancel. A task holds six products of a block with all columns; adding up streams over the tasks' rows of a column.
+    """
+    cols, kinds = list(cols), ["n", "s", "ss", "t", "tt", "p"]
+    values = df.select(*[no_nan(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    rough = values.limit(1000).agg(*[F.avg(c).alias(c) for c in values.columns]).first()
+    shift = np.array([rough[i] or 0.0 for i in range(len(cols))])
+    schema = "a int, " + ", ".join(f"{k} array<double>" for k in kinds)
+
+    def products(lo: int, hi: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = None
+            for batch in batches:
+                x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float) - shift
+                there = ~np.isnan(x)
+                x[~there], mask = 0.0, there.astype(float)
+                a, m = x[:, lo:hi], mask[:, lo:hi]
+                new = [m.T @ mask, a.T @ mask, (a * a).T @ mask, m.T @ x, m.T @ (x * x), a.T @ x]
+                sums = new if sums is None else [old + more for old, more in zip(sums, new)]
+            if sums is not None:
+                lists = [pa.array(list(part), pa.list_(pa.float64())) for part in sums]
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(lo, hi, dtype=np.int32)), *lists], ["a", *kinds])
+
+        return run
+
+    parts = None
+    for lo in range(0, len(cols), block):
+        part = values.mapInArrow(products(lo, min(lo + block, len(cols))), schema)
+        parts = part if parts is None else parts.unionByName(part)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            rows = np.stack([batch.column(i + 1).flatten().to_numpy().reshape(batch.num_rows, -1) for i in range(len(kinds))], axis=1)
+            for a, row in zip(batch.column(0).to_pylist(), rows):
+                sums[a] = sums[a] + row if a in sums else row
+        for a, (n, s, ss, t, tt, p) in sums.items():
+            with np.errstate(divide="ignore", invalid="ignore"):
+                va, vb = ss - s * s / n, tt - t * t / n
+                r = (p - s * t / n) / np.sqrt(va * vb)
+            # What rounding leaves of a constant's variance is no spread.
+            r[~((va > 1e-13 * ss) & (vb > 1e-13 * tt))] = np.nan
+            yield pa.RecordBatch.from_arrays([pa.array([cols[a]] * a, pa.string()), pa.array(cols[:a], pa.string()), pa.array(r[:a], from_pandas=True)], ["feature_a", "feature_b", "r"])
+
+    return parts.repartition("a").mapInArrow(add, "feature_a string, feature_b string, r double")
+
+
 def correlate_with(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Pearson r of every column with one target column."""
     one = df.agg(*[pearson(c, target).alias(f"r{i}") for i, c in enumerate(cols)])

@@ -159,7 +159,7 @@ def _(spark, d):
 def _(spark, d):
     """All documented targets of both models, the area under the precision-recall curve among them."""
     metrics = evaluate.core_metrics(v.scored_models(spark, d), "y", "yhat", "p", by=["model"], curve=True)
-    return evaluate.quality_gates(metrics, evaluate.TARGET_GATES, keep=["model"])
+    return evaluate.quality_gates(metrics, evaluate.DOCUMENTED_GATES, keep=["model"])
 
 
 @query("scoring_stats", """select count(*) prediction_count, round(avg(p), 4) avg_probability, count(*) filter (p >= 0.7::double) high_risk_count from scored""")

@@ -370,9 +370,29 @@ def _(spark, d):
         "month", F.date_format("month", "yyyy-MM"))
 
 
-@query("vif")
+VIF_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _determinant(cols):
+    """The determinant of the correlation matrix of some columns, written out by its first row; the correlations are columns of ``corrs``."""
+    def expand(rows, at):
+        if not rows:
+            return "1::double"
+        first, rest = rows[0], rows[1:]
+        terms = []
+        for j, c in enumerate(at):
+            r = "1::double" if c == first else f"r_{min(VIF_COLS.index(first), VIF_COLS.index(c))}{max(VIF_COLS.index(first), VIF_COLS.index(c))}"
+            terms.append(f"{'-' if j % 2 else '+'} {r} * ({expand(rest, at[:j] + at[j + 1:])})")
+        return " ".join(terms)
+
+    return expand(list(cols), list(cols))
+
+
+@query("vif", " union all ".join(f"select '{c}' feature, round(({_determinant([x for x in VIF_COLS if x != c])}) / ({_determinant(VIF_COLS)}), 6) vif from corrs" for c in VIF_COLS),
+       "\n  corrs as (select " + ", ".join(f"corr({a}, {b}) r_{i}{j}" for i, a in enumerate(VIF_COLS) for j, b in enumerate(VIF_COLS) if i < j) + " from lineitem)")
 def _(spark, d):
-    return vif(v.table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    """In SQL by determinants: that of the other features' correlations over that of all."""
+    return vif(v.table(spark, d, "lineitem"), VIF_COLS)
 
 
 FLAT_COLS = """account_id, timestamp '2001-09-01' reference_date, signup_date subscription_start_date, last_order last_activity_date, n_orders * 9 total_events,

@@ -11,9 +11,9 @@ from ..sources import tables as io
 from ..streaming import audit as st
 from ..streaming import drift as stream_drift
 from ..streaming import upsert
+from . import endtoend, training
 from . import views as v
-from . import training
-from .queries_tables import AUDIT_CTE, PAYLOAD_CTE, _payload, audit_table, scratch, three_way
+from .queries_tables import AUDIT_CTE, PAYLOAD_CTE, SPLIT_CTE, _payload, audit_table, scratch, three_way
 from .registry import query
 
 FEATURES = ["balance", "n_orders", "max_spend", "avg_spend", "country"]
@@ -146,6 +146,20 @@ def _(spark, d):
     return artifact.score_raw(rows, artifact.load_artifact(path), [KEY])
 
 
+INDUSTRIES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+@query("training_features", "select account_id, churn_flag, split, " + ", ".join(
+    f"round(coalesce(({c} - (select avg({c}) from split3 where split = 'train')) / (select stddev_pop({c}) from split3 where split = 'train'), 0), 6) {c}" for c in ("balance", "n_orders", "avg_spend"))
+    + ", " + ", ".join(f"(coalesce(industry = '{i}', false))::double \"industry_{i}\"" for i in INDUSTRIES)
+    + ", (n_orders > 10)::double is_frequent from split3", SPLIT_CTE)
+def _(spark, d):
+    """Encoded and audited features of all accounts, fitted on the training split; the country is protected."""
+    made = endtoend.training_features(three_way(spark, d), KEY, LABEL, "split", ["balance", "n_orders", "avg_spend"], CATEGORIES, ["is_frequent"], ["country"],
+                                      lambda df: df.withColumn("is_frequent", (F.col("n_orders") > 10).cast("int")))
+    return made.matrix
+
+
 SMALL = {"forest": {"trees": 10, "depth": 5}, "boosting": {"rounds": 5, "depth": 3}}
 
 

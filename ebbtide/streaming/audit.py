@@ -81,13 +81,14 @@ def score_stream(stream: DataFrame, model: Transformer, **kwargs) -> DataFrame:
     return score(stream, model, **kwargs)
 
 
-def drain(stream: DataFrame, out: str, checkpoint: str, mode: str = "append", fmt: str = "parquet", keys: Sequence[str] = ()) -> StreamingQuery:
+def drain(stream: DataFrame, out: str, checkpoint: str, mode: str = "append", fmt: str = "parquet", keys: Sequence[str] | None = None) -> StreamingQuery:
     """Process what is available and stop. Append goes to a file sink; complete rewrites the result.
 
-    Update mode hands out changed rows only; they are merged by ``keys`` into a versioned folder (``upsert.read_latest`` reads it).
+    Update mode hands out changed rows only; they are merged by ``keys`` (none for a single row) into a versioned folder, which
+    ``upsert.read_latest`` reads. Without keys given it is refused, as a rewritten folder can't hold such a result.
     """
-    if mode not in ("append", "complete", "update"):
-        raise ValueError(f"drain knows no output mode {mode}")
+    if mode not in ("append", "complete") and (mode != "update" or keys is None):
+        raise ValueError(f"drain can't keep the result of output mode {mode}")
     writer = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).outputMode(mode)
     if mode == "append":
         query = writer.format(fmt).option("path", out).start()

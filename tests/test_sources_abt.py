@@ -131,3 +131,48 @@ def test_usage_rollup_counts_without_multiplying_rows(spark):
         assert (r.first_activity_date, r.last_activity_date) == (min(f[1] for f in mine if f[1]), max(f[1] for f in mine if f[1]))
     direct = rollups.usage_rollup(use.withColumn("account_id", F.col("subscription_id"))).collect()
     assert {r.account_id for r in direct} == {1, 2, 3, 4, 5}
+
+
+def test_one_call_from_raw_tables_to_saved_base_table(spark, raw):
+    from ebbtide.plans.endtoend import build_base_table
+
+    out = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    run = build_base_table(spark, raw, out)
+    nulls = run.table.select([F.count_if(F.col(c).isNull()).alias(c) for c in run.table.columns]).first().asDict()
+    assert run.table.count() == 5 and {c for c, n in nulls.items() if n} <= {"last_ticket_date"}
+    assert spark.read.parquet(f"{out}/abt").count() == 5
+    f = run.findings
+    assert set(f) == {"columns", "types", "keys", "missing", "imputed", "outliers", "versions", "summary"}
+    assert f["columns"].count() == 0 and [r.column_name for r in f["types"].where("not passed").collect()] == ["submitted_at"]
+    assert {r.table_name: r.n_rows for r in f["keys"].collect()} == {"accounts": 5, "subscriptions": 6, "feature_usage": 25, "support_tickets": 4, "churn_events": 2}
+    filled = {r.column_name: r for r in f["imputed"].collect()}
+    assert filled["ticket_count"].rows_filled == 2 and filled["ticket_count"].strategy == "median"
+    assert {r.table_name for r in f["versions"].select("table_name").distinct().collect()} == set(schemas.TABLES)
+    s = f["summary"].first()
+    assert (s.n_rows, s.copies_dropped) == (5, 0) and s.outliers_capped == f["outliers"].where("n_below + n_above > 0").count() and s.label_rate == 0.4
+    # The same table as by the separate steps.
+    t = io.read_table_set(spark, raw)
+    again = clean_abt(build_abt(t["accounts"], t["subscriptions"], t["feature_usage"], t["support_tickets"]), flags=("is_trial", "sub_is_trial"))
+    assert sorted(map(str, run.table.select(*again.columns).collect())) == sorted(map(str, again.collect()))
+    with pytest.raises(FileNotFoundError):
+        build_base_table(spark, f"{raw}/nowhere", out)
+
+
+def test_training_features_are_audited_and_their_preprocessing_is_saved(spark):
+    from ebbtide.operators import artifact
+    from ebbtide.plans.endtoend import training_features
+
+    rows = [(i, i % 2, "train" if i % 3 else "test", float(i), "x" if i % 4 else "y", "EU" if i % 5 else "US") for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, y int, split string, spend double, plan string, region string")
+    made = training_features(df, "id", "y", "split", ["spend", "twice"], ["plan"], [], ["region"], lambda d: d.withColumn("twice", F.col("spend") * 2))
+    assert made.features == ["spend", "twice", "plan_x", "plan_y"] and made.matrix.columns == ["id", "y", "split", *made.features]
+    train = made.matrix.where("split = 'train'").agg(F.avg("spend"), F.stddev_pop("spend")).first()
+    assert train[0] == pytest.approx(0, abs=1e-9) and train[1] == pytest.approx(1) and made.matrix.count() == 60
+    assert made.protected.columns == ["id", "region"]
+    path = made.save(tempfile.mkdtemp(prefix="run-", dir="/tmp"), "prep", "1")
+    again = artifact.load_artifact(path)
+    vectors = {r.id: r.features.toArray().tolist() for r in again.model.transform(df.withColumn("twice", F.col("spend") * 2)).collect()}
+    assert all(vectors[r.id] == pytest.approx([r[c] for c in made.features]) for r in made.matrix.collect())
+    for wrong in (["region"], ["plan"]):
+        with pytest.raises(ValueError):
+            training_features(df, "id", "y", "split", ["spend"], [*wrong], [], ["region", "plan"])
