@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
+from .text import shielded, unshielded
 
 MIN_WORDS = 20
 #: Largest share of words in repeated windows, in percent.
@@ -90,7 +91,17 @@ def judged(measured: DataFrame, hosts: DataFrame, host: str = "source") -> DataF
     return rows.join(salted, on, "left").withColumn("kept", ~F.col("base_failed") & ~F.coalesce(failed, F.lit(False))).drop("_mine", "_salt", "_host")
 
 
-def judge(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """``docs`` with its measures, its host's rates and kept; nothing is dropped here."""
-    measured = measures(docs, text)
-    return judged(measured, host_rates(measures(docs.select(host, text), text), host), host)
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+def judge(docs: DataFrame, text: str = "text", host: str = "source", keep_text: bool = True) -> DataFrame:
+    """``docs`` with its measures, its host's rates and kept; nothing is dropped here, but the text if it isn't asked for.
+
+    The measures are taken once and written: hosts are counted, and documents judged, from there. Columns of ``docs`` that are called like those made here are replaced.
+    """
+    inner, at = shielded(docs)
+    measured = measures(inner, at[text])
+    measured = staged(measured if keep_text else measured.drop(at[text]))
+    out = judged(measured, host_rates(measured, at[host]), at[host])
+    left = {old: new for old, new in at.items() if keep_text or old != text}
+    return unshielded(out, left, [*MEASURES, "host_docs", *[f"rate_{name}" for name in RULES], "kept"])

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 #: What separates words: space and the control characters 9 to 13.
@@ -92,6 +95,17 @@ def id_crc(ids: np.ndarray) -> int:
     return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4").tobytes())
 
 
+def shielded(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """(``df`` with its columns renamed by place, new name of each): operators can add columns of any name to it. ``toDF`` with the old names undoes it."""
+    inner = df.toDF(*[f"__in{i}" for i in range(len(df.columns))])
+    return inner, dict(zip(df.columns, inner.columns))
+
+
+def unshielded(df: DataFrame, at: dict[str, str], made: Sequence[str]) -> DataFrame:
+    """The old columns under their old names, then those ``made``, which replace old ones of the same name."""
+    return df.select(*[F.col(new).alias(old) for old, new in at.items() if old not in made], *made)
+
+
 def extended(fields, **types: str) -> StructType:
     """A new schema: ``fields``, then columns of the types named."""
     simple = {"int": IntegerType(), "long": LongType(), "double": DoubleType(), "string": StringType(), "binary": BinaryType(), "boolean": BooleanType()}
