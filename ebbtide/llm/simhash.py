@@ -1,11 +1,13 @@
-"""SimHash fingerprints, and their near pairs by vantage points.
-
-Fingerprints: one Arrow pass, no shuffle. Near pairs: distinct fingerprints (equal ones are one) are dealt to shards
-by their distances to a few vantage points, in rings as wide as the radius plus one: by the triangle inequality two linked
-fingerprints lie in the same or in neighbouring rings, so each goes to its own ring and, where it lies within the
-radius of the next ring's border, to that one as well. Within a shard (blocks of bounded size, see ``tiles``) the search goes on as a
-vantage-point tree: at each node the distance to one vantage fingerprint orders both sides, and a ring meets only rings within the
-radius. What is left is compared exactly. A shard hands out a spanning forest of its links, never the pairs.
+"""SimHash fingerprints, and their near pairs by vantage-point trees over quarters.
+
+Fingerprints: one Arrow pass, no shuffle. Near pairs: a fingerprint is cut into four quarters of 16 bits. Two that differ in at most four bits differ in at
+most one bit of some quarter, so each quarter is searched on its own, at radius one. Distinct fingerprints (equal ones are one) are dealt
+to shards by the leading bits of the quarter; a neighbour beyond the border differs in one of those bits, so each
+fingerprint also visits the shards with one of them flipped, the greater ones only: at most 4 x 9 rows on average, whatever the
+number of rows. Within a shard (blocks of bounded size, see ``tiles``) a vantage-point tree over the quarter's distinct values finds the pairs of values within the
+radius: at each node the distance to one vantage value orders both sides in rings, and by the triangle inequality a ring meets only rings within the
+radius. Rows of a pair of values are compared exactly; where there are many, the remaining quarters are searched in the same way, at their share of
+the radius. A shard hands out a spanning forest of its links, never the pairs.
 """
 
 from __future__ import annotations
@@ -21,18 +23,21 @@ from pyspark.sql import functions as F
 
 from ..session import staged
 from .graph import components
-from .text import extended, raw, words
+from .text import extended, raw, shielded, words
 from .tiles import Forest, block_pairs
 
 SHINGLE = 4
 RADIUS = 4
 SEED = 42
 #: Rows of a block of a shard; a unit of work holds two.
-BLOCK = 65_536
-#: Fingerprints for which the shards get a further vantage point.
-SHARD_ROWS = 60_000
+BLOCK = 16_384
+#: Fingerprints at home in a shard, about; there are never more than 65,536 shards a quarter.
+SHARD_ROWS = 16_384
 #: Comparisons below which a tree node compares directly.
 LEAF = 1 << 17
+QUARTERS, BITS = 4, 16
+#: Pairs of rows that are compared at a time.
+STEP = 2_000_000
 
 
 def fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
@@ -84,11 +89,9 @@ def with_fingerprint(docs: DataFrame, text: str = "text", name: str = "fp") -> D
     return docs.mapInArrow(run, schema)
 
 
-def near_links(x: np.ndarray, left: np.ndarray, right: np.ndarray | None, radius: int, forest: Forest) -> None:
-    """Link x[left] with x[right] (or x[left] among themselves) wherever at most ``radius`` bits differ."""
+def vantage_pairs(x: np.ndarray, left: np.ndarray, right: np.ndarray | None, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Batches of (i, j), i in ``left`` and j in ``right`` (or both in ``left``), whose x differ in at most ``radius`` bits. Within ``left``, pairs come in one or both orders."""
     todo = [(left, left if right is None else right, right is None, 0)]
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    size = 0
     while todo:
         a, b, same, tries = todo.pop()
         if not len(a) or not len(b):
@@ -98,12 +101,7 @@ def near_links(x: np.ndarray, left: np.ndarray, right: np.ndarray | None, radius
                 for at in range(0, len(b), 2048):
                     p, q = a[lo:lo + 2048], b[at:at + 2048]
                     i, j = np.nonzero(np.bitwise_count(x[p][:, None] ^ x[q][None, :]) <= radius)
-                    found.append((p[i], q[j]))
-                    size += len(i)
-                    if size > 2_000_000:
-                        for f in found:
-                            forest.add(*f)
-                        found, size = [], 0
+                    yield p[i], q[j]
             continue
         vantage = x[a[len(a) * (2 * tries + 1) // 7 % len(a)]]
         da = np.bitwise_count(x[a] ^ vantage).astype(np.int64)
@@ -124,35 +122,101 @@ def near_links(x: np.ndarray, left: np.ndarray, right: np.ndarray | None, radius
             todo.append((own, b[at_b[i]:to_b[i]], False, tries + 1 if stuck else 0))
             if same:
                 todo.append((own, own, True, tries + 1 if stuck else 0))
-    for f in found:
-        forest.add(*f)
+
+
+def _by_value(x: np.ndarray, rows: np.ndarray, quarter: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(rows sorted by their value of the quarter, distinct values, where each begins, how many rows it has)."""
+    value = x[rows] >> np.uint64(BITS * quarter) & np.uint64((1 << BITS) - 1)
+    order = np.argsort(value, kind="stable")
+    values, start, count = np.unique(value[order], return_index=True, return_counts=True)
+    return rows[order], values, start, count
+
+
+def near_links(x: np.ndarray, left: np.ndarray, right: np.ndarray | None, radius: int, forest: Forest, first: int | None = None) -> int:
+    """Link x[left] with x[right] (or x[left] among themselves) wherever at most ``radius`` bits differ; returns how many pairs of rows were compared.
+
+    With ``first`` only pairs that keep that quarter's share of the radius are asked for.
+    """
+    every = tuple(range(QUARTERS))
+    todo = [(left, left if right is None else right, right is None, every, every if first is None else (first,))]
+    compared = 0
+    while todo:
+        a, b, same, rest, tried = todo.pop()
+        if not len(a) or not len(b):
+            continue
+        if len(a) * len(b) <= LEAF or not rest:
+            for lo in range(0, len(a), 2048):
+                for at in range(lo if same else 0, len(b), 2048):
+                    p, q = a[lo:lo + 2048], b[at:at + 2048]
+                    i, j = np.nonzero(np.bitwise_count(x[p][:, None] ^ x[q][None, :]) <= radius)
+                    forest.add(p[i], q[j])
+                    compared += len(p) * len(q)
+            continue
+        for quarter in tried:
+            others = tuple(k for k in rest if k != quarter)
+            a, va, at_a, n_a = _by_value(x, a, quarter)
+            b, vb, at_b, n_b = (a, va, at_a, n_a) if same else _by_value(x, b, quarter)
+            # Values of both sides as one array of numbered points for the tree.
+            points = va if same else np.concatenate([va, vb])
+            ones, twos = np.arange(len(va)), None if same else np.arange(len(va), len(points))
+            found = list(vantage_pairs(points, ones, twos, radius // len(rest)))
+            i, j = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+            if same:
+                i, j = np.divmod(np.unique(np.minimum(i, j) * len(va) + np.maximum(i, j)), len(va))
+            else:
+                j = j - len(va)
+            pairs = n_a[i] * n_b[j]
+            for k in np.flatnonzero(pairs > LEAF):
+                todo.append((a[at_a[i[k]]:at_a[i[k]] + n_a[i[k]]], b[at_b[j[k]]:at_b[j[k]] + n_b[j[k]]], same and i[k] == j[k], others, others))
+            small = pairs <= LEAF
+            i, j, pairs = i[small], j[small], pairs[small]
+            compared += int(pairs.sum())
+            ends = np.cumsum(pairs)
+            lo = 0
+            while lo < len(pairs):
+                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + STEP, "right")))
+                n = pairs[lo:hi]
+                within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                width = np.repeat(n_b[j[lo:hi]], n)
+                p, q = a[np.repeat(at_a[i[lo:hi]], n) + within // width], b[np.repeat(at_b[j[lo:hi]], n) + within % width]
+                ok = np.bitwise_count(x[p] ^ x[q]) <= radius
+                forest.add(p[ok], q[ok])
+                lo = hi
+    return compared
+
+
+def shards(fps: DataFrame, leading: int) -> DataFrame:
+    """(fp, shard, own): each fingerprint in its shard of every quarter (own), and as a visitor in the greater ones of which it differs in one leading bit.
+
+    A shard is known by quarter and ``leading`` bits, at most 18 bits in all.
+    """
+    quarters = [F.shiftrightunsigned("fp", BITS * q).bitwiseAND(F.lit((1 << BITS) - 1)) for q in range(QUARTERS)]
+    tops = F.array(*[F.struct(F.lit(q).cast("long").alias("q"), F.shiftrightunsigned(v, BITS - leading).alias("top")) for q, v in enumerate(quarters)])
+    homes = fps.select("fp", F.explode(tops).alias("e")).select("fp", "e.*")
+    beyond = F.array(*[F.when(F.col("top").bitwiseAND(F.lit(1 << i)) == 0, F.col("top") + (1 << i)) for i in range(leading)]) if leading else F.array().cast("array<bigint>")
+    every = homes.select("fp", "q", F.explode(F.array_compact(F.concat(F.array("top"), beyond))).alias("at"), "top")
+    return every.select("fp", (F.col("q") * (1 << BITS) + F.col("at")).alias("shard"), (F.col("at") == F.col("top")).alias("own"))
 
 
 def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Edges (a, b) of a forest that spans the links of distinct fingerprints (column fp)."""
-    n = fps.count()
-    axes = max(2, round(math.log2(max(n, 1) / SHARD_ROWS)))
-    # The vantage points: any would do for exact results; taken by hash, a handful of numbers.
-    points = [r[0] for r in fps.orderBy(F.xxhash64(F.lit(5), "fp"), "fp").limit(axes).collect()]
-    width = radius + 1
-    rows = fps.select("fp", F.lit(0).cast("long").alias("shard"))
-    for p in points:
-        d = F.expr(f"bit_count(fp ^ {p}L)") if p != -(1 << 63) else F.expr("bit_count(fp ^ (-9223372036854775807L - 1L))")
-        ring = (d / width).cast("int")
-        rows = rows.withColumns({"_r": ring, "_over": d - ring * width})
-        rows = rows.withColumn("_s", F.explode(F.when(F.col("_over") > 0, F.array(F.col("_r"), F.col("_r") + 1)).otherwise(F.array("_r"))))
-        rows = rows.select("fp", (F.col("shard") * 16 + F.col("_s")).alias("shard"))
-    units = block_pairs(rows, "shard", "fp", BLOCK)
+    if radius >= 2 * QUARTERS:
+        raise ValueError(f"visits reach a radius below {2 * QUARTERS}")
+    leading = min(BITS, max(0, math.ceil(math.log2(max(1, fps.count()) / SHARD_ROWS))))
+    units = block_pairs(shards(fps, leading), "shard", "fp", BLOCK)
 
     def run(unit: pa.Table) -> pa.Table:
-        x = unit.column("fp").to_numpy().view(np.uint64)
-        lo, hi = unit.column("lo")[0].as_py(), unit.column("hi")[0].as_py()
+        x, own = unit.column("fp").to_numpy().view(np.uint64), unit.column("own").to_numpy(zero_copy_only=False)
+        lo, hi, quarter = unit.column("lo")[0].as_py(), unit.column("hi")[0].as_py(), unit.column("shard")[0].as_py() >> BITS
         mine = unit.column("blk").to_numpy()
         forest = Forest(len(x))
+        # Visitors meet only rows at home here; they meet each other where one of them is.
         if lo == hi:
-            near_links(x, np.arange(len(x)), None, radius, forest)
+            near_links(x, np.flatnonzero(own), None, radius, forest, quarter)
+            near_links(x, np.flatnonzero(own), np.flatnonzero(~own), radius, forest, quarter)
         else:
-            near_links(x, np.flatnonzero(mine == lo), np.flatnonzero(mine == hi), radius, forest)
+            near_links(x, np.flatnonzero((mine == lo) & own), np.flatnonzero(mine == hi), radius, forest, quarter)
+            near_links(x, np.flatnonzero((mine == lo) & ~own), np.flatnonzero((mine == hi) & own), radius, forest, quarter)
         a, b = forest.edges()
         x = x.view(np.int64)
         return pa.table({"a": x[a], "b": x[b]})
@@ -177,13 +241,15 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """``docs`` with one row of each group of linked rows: the one of the smallest key (rows without a key only where a group has no other).
 
-    Rows are told apart by a hash of key and text, so that repeated rows are one; of those one stays.
+    Rows are told apart by 128 bits of key and text; of rows equal in both, any one stays, whatever their other columns hold.
     """
-    mark = F.xxhash64(F.col(key), F.col(text))
-    marked = docs.select(mark.alias("_mark"), F.col(key).alias("_key"), F.col(text).alias("_text"))
+    inner, at = shielded(docs)
+    key, text = at[key], at[text]
+    mark = F.concat_ws(":", F.xxhash64(F.col(key), F.col(text)).cast("string"), F.xxhash64(F.lit(1), F.col(text), F.col(key)).cast("string"))
+    marked = inner.select(mark.alias("_mark"), F.col(text).alias("_text"))
     found = groups(marked, "_mark", "_text", radius)
-    owners = staged(docs.select(mark.alias("_m"), F.col(key).cast("long").alias("_k")).distinct())
+    owners = staged(inner.select(mark.alias("_m"), F.col(key).cast("long").alias("_k")).distinct())
     ranked = found.select("_mark", "component_id").distinct().join(owners, F.col("_mark") == F.col("_m"))
     first = staged(ranked.groupBy("component_id").agg(F.min(F.struct(F.col("_k").isNull().alias("none"), "_k", "_mark")).alias("best")).select(F.col("best._mark").alias("_stay")))
-    kept = docs.withColumn("_mark", mark).join(first, F.col("_mark") == F.col("_stay"), "left_semi")
-    return kept.dropDuplicates(["_mark"]).drop("_mark")
+    kept = inner.withColumn("_mark", mark).join(first, F.col("_mark") == F.col("_stay"), "left_semi")
+    return kept.dropDuplicates(["_mark"]).drop("_mark").toDF(*docs.columns)
