@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import coded, extended, mixed, ranges, raw, segment_sums, string_hashes, words
+from .text import coded, extended, mixed, ranges, raw, segment_sums, shielded, string_hashes, unshielded, words
 
 #: Labelled documents that the classifier is fitted on, in expectation.
 SAMPLE = 4000
@@ -175,13 +175,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityMo
 
 
 def score(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
-    """``docs`` plus score and predicted. The model is one array of a fixed size, whatever the tables' size."""
+    """``docs`` plus score and predicted (which replace columns of these names). The model is one array of a fixed size, whatever the tables' size."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = extended(docs.schema.fields, score="double", predicted="int")
+    inner, at = shielded(docs)
+    schema, body = extended(inner.schema.fields, score="double", predicted="int"), at[text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s = shared.value.score(b.column(b.schema.get_field_index(text)))
+            s = shared.value.score(b.column(b.schema.get_field_index(body)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32))], names=[*b.schema.names, "score", "predicted"])
 
-    return docs.mapInArrow(run, schema)
+    return unshielded(inner.mapInArrow(run, schema), at, ["score", "predicted"])

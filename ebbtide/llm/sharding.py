@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
+from .text import shielded, unshielded
 
 #: Rows for which one numbering cell of a shard is made.
 CELL_ROWS = 20_000
@@ -37,14 +38,15 @@ def shard_of(key: Column, weights: Sequence[float]) -> Column:
 
 
 def with_slots(rows: DataFrame, shard: str = "shard", key: str = "doc_id", slot: str = "slot") -> DataFrame:
-    """``rows`` plus each row's place in its shard, gapless from 0.
+    """``rows`` plus each row's place in its shard, gapless from 0 (a column of that name is replaced).
 
     The rows are staged once with a row number that only serves to spread them, so that one key
     with a third of all rows still lands in many cells. Cell totals (one row per cell) give
     the offsets. An empty table stays empty; repeated rows get places of their own.
     """
-    kept = rows.columns
-    fixed = staged(rows.withColumn("_row", F.monotonically_increasing_id()))
+    inner, names = shielded(rows)
+    shard, key, kept = names[shard], names[key], {old: new for old, new in names.items() if old != slot}
+    fixed = staged(inner.withColumn("_row", F.monotonically_increasing_id()))
     shards = fixed.agg(F.max(shard)).first()[0]
     cells = max(MIN_CELLS, fixed.count() // (CELL_ROWS * ((shards or 0) + 1)))
     fixed = fixed.withColumn("_cell", F.expr(f"pmod(xxhash64(`{key}`, _row), {cells})"))
@@ -54,7 +56,7 @@ def with_slots(rows: DataFrame, shard: str = "shard", key: str = "doc_id", slot:
     before = totals.select("_shard", "_at", (F.sum("count").over(Window.partitionBy("_shard").orderBy("_at")) - F.col("count")).alias("_before"))
     numbered = fixed.withColumn("_place", F.row_number().over(Window.partitionBy(shard, "_cell").orderBy(key, "_row")) - 1)
     on = (F.col(shard) == F.col("_shard")) & (F.col("_cell") == F.col("_at"))
-    return numbered.join(before, on).select(*kept, (F.col("_before") + F.col("_place")).cast("long").alias(slot))
+    return unshielded(numbered.join(before, on).withColumn(slot, (F.col("_before") + F.col("_place")).cast("long")), kept, [slot])
 
 
 def assign(docs: DataFrame, weights: Sequence[float], key: str = "doc_id", text: str = "text", grown: Sequence[float] | None = None) -> DataFrame:
