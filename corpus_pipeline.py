@@ -9,18 +9,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ebbtide.llm import packing, quality, rules, simhash
+from ebbtide.llm.text import shielded
 from ebbtide.session import staged
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail a base rule, or a rule that their host fails often, go."""
-    return rules.judge(docs).where("kept").select(*docs.columns)
+    inner, at = shielded(docs)  # a column called like one that the operator makes keeps its own values
+    return rules.judge(inner, at["text"], at["source"]).where("kept").select(*inner.columns).toDF(*docs.columns)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores below the threshold go; it learns from the labelled ones among ``docs``."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(docs, model).where("predicted = 1").select(*docs.columns)
+    inner, at = shielded(docs)
+    return quality.score(inner, model, at["text"]).where("predicted = 1").select(*inner.columns).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
