@@ -29,6 +29,8 @@ BATCH = 32
 RATE = 0.25
 THRESHOLD = 0.3
 RUNS = (3, 4)
+#: Texts that are scored at a time.
+SLICE = 1000
 
 
 def _word_rows(distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -79,7 +81,10 @@ class QualityModel:
     bias: float
 
     def score(self, texts: pa.Array) -> np.ndarray:
-        """Class 1's share for each text; an empty text gets the bias's."""
+        """Class 1's share for each text; an empty text gets the bias's. Texts are taken a thousand at a time."""
+        return np.concatenate([self._score(texts.slice(lo, SLICE)) for lo in range(0, len(texts), SLICE)]) if len(texts) else np.zeros(0)
+
+    def _score(self, texts: pa.Array) -> np.ndarray:
         flat, ends = words(texts)
         distinct, ids = coded(flat)
         hashes, runs, run_ends = _word_rows(distinct)
