@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..session import staged
 from .graph import components
+from .text import extended
 from .tiles import Forest, block_pairs
 
 COSINE = 0.98
@@ -47,10 +48,13 @@ def blocks_of(dims: int) -> list[tuple[int, int]]:
 
 
 def _dense(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    """The vectors in double precision, each halved or doubled until its largest component is near one: no digit changes, and squares stay in range."""
+    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    _, exponent = np.frexp(np.abs(x).max(1, keepdims=True))
+    return np.ldexp(x, -exponent)
 
 
-def tiled(classes: DataFrame, dims: int, cosine: float, axes: int, vector: str) -> DataFrame:
+def tiled(classes: DataFrame, dims: int, cosine: float, axes: int) -> DataFrame:
     """(node, label, vector, mult, tile, home): every class in the tiles of each of its blocks; home has a bit for each axis on which the tile is its own."""
     turn, spans, budget = rotation(dims), blocks_of(dims), 2 - 2 * cosine + SLACK
 
@@ -74,7 +78,7 @@ def tiled(classes: DataFrame, dims: int, cosine: float, axes: int, vector: str)
                 rows = b.take(pa.array(at))
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.full(len(at), k, np.int32)), pa.array(tile), pa.array(home)], names=[*b.schema.names, "part", "tile", "home"])
 
-    return classes.mapInArrow(run, "node long, label int, vector array<%s>, mult long, part int, tile long, home long" % vector)
+    return classes.mapInArrow(run, extended(classes.schema.fields, part="int", tile="long", home="long"))
 
 
 def _unit(dims: int, cosine: float, axes: int):
@@ -134,30 +138,29 @@ def _unit(dims: int, cosine: float, axes: int):
 def groups(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", cosine: float = COSINE) -> DataFrame:
     """(key, n_links, component_id, kept): per row its direct links, and the smallest key it reaches.
 
-    Rows link only within one label. A null label or vector, one of length zero, or null or non-finite components: no link.
+    Rows link only within one label, of any type. A null key is never kept. A null label or vector, one of length zero, or null or non-finite components: no link.
     Vectors of different lengths never link. Rows of equal key are rows of their own.
     """
-    base = rows.select(F.col(key).alias("id"), F.col(label).cast("int").alias("label"), F.col(vector).alias("vector"))
-    kind = base.schema["vector"].dataType.elementType.simpleString()
+    base = rows.select(F.col(key).alias("id"), F.col(label).alias("label"), F.col(vector).alias("vector"))
     sane = F.col("label").isNotNull() & F.col("vector").isNotNull() & F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("vector", lambda v: v != 0)
     base = staged(base.withColumns({"ok": F.coalesce(sane, F.lit(False)), "mark": F.xxhash64("label", "vector")}))
     good = base.where("ok")
     lengths = [r[0] for r in good.select(F.size("vector").alias("d")).distinct().orderBy("d").collect()]  # vector widths: a handful
-    # One class per (label, vector). The smallest id names it; ids repeat at worst for rows that are copies in key as well, so the mark breaks ties.
-    classes = staged(good.groupBy("label", "mark", "vector").agg(F.min("id").alias("node0"), F.count(F.lit(1)).alias("mult")).withColumn("node", F.xxhash64("label", "mark", "node0")))
+    # One class per (label, vector), numbered as it is written; the smallest id names it.
+    classes = staged(good.groupBy("label", "mark", "vector").agg(F.min("id").alias("node0"), F.count(F.lit(1)).alias("mult")).withColumn("node", F.monotonically_increasing_id()))
     edges = counts = None
     for d in lengths:
         mine = classes.where(F.size("vector") == d)
         n = mine.count()
         axes = max(1, min(BLOCK_DIM, math.ceil(math.log(max(n, 2) / TILE_ROWS, 2)) if n > TILE_ROWS else 1))
-        spread = tiled(mine.select("node", "label", "vector", "mult"), d, cosine, axes, kind)
+        spread = tiled(mine.select("node", "label", "vector", "mult"), d, cosine, axes)
         spread = spread.withColumn("unit", F.xxhash64("label", "part", "tile"))
         units = block_pairs(spread, "unit", "node", ROWS)
         got = staged(units.groupBy("label", "part", "tile", "lo", "hi").applyInArrow(_unit(d, cosine, axes), "a long, b long, n long"))
         e, c = got.where("b is not null").select("a", "b"), got.where("n is not null").select("a", "n")
         edges, counts = (e, c) if edges is None else (edges.unionByName(e), counts.unionByName(c))
     if edges is None:
-        return base.select(F.col("id").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("id").cast("long").alias("component_id"), F.lit(True).alias("kept"))
+        return base.select(F.col("id").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("id").cast("long").alias("component_id"), F.col("id").isNotNull().alias("kept"))
     found = components(edges)
     direct = counts.groupBy(F.col("a").alias("_a")).agg(F.sum("n").alias("linked"))
     at = classes.select("label", "mark", "vector", "node", "node0", "mult").join(direct, F.col("node") == F.col("_a"), "left")

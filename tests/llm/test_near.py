@@ -141,3 +141,17 @@ def test_vectors_equal_brute_force(spark, monkeypatch):
 def test_no_vectors(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embeddings.groups(none).count() == 0
+
+
+def test_vectors_of_extreme_components_and_any_label(spark):
+    """Very large and very small components link as their directions do; labels beyond int and of text; a null key is never kept."""
+    rng = np.random.default_rng(31)
+    v, w = rng.normal(size=8), rng.normal(size=8)
+    scaled = [v, v * 1e200, v * 3e-200, v * 1e-308, w * 1e300, w * 7e-150, -v]
+    for kind, label in (("long", 1 << 40), ("string", "first")):
+        rows = [(i, [float(x) for x in u], label) for i, u in enumerate(scaled)] + [(None, [1.0] * 8, label), (90, [1.0] * 8, None)]
+        got = {r.vec_id: r for r in embeddings.groups(spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}")).collect()}
+        assert [got[i].component_id for i in range(7)] == [0, 0, 0, 0, 4, 4, 6] and [got[i].n_links for i in range(7)] == [3, 3, 3, 3, 1, 1, 0]
+        assert not got[None].kept and got[90].kept
+    none = embeddings.groups(spark.createDataFrame([(None, None, 1), (5, None, 1)], "vec_id long, embedding array<double>, label int")).collect()
+    assert {r.vec_id: r.kept for r in none} == {None: False, 5: True}
