@@ -19,10 +19,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import shared_dir, staged
 from .bpe import default_path, loaded
 from .ordered import in_order
 from .text import id_crc
@@ -145,13 +145,10 @@ def write(docs: DataFrame, folder: str | None = None, key: str = "doc_id", text:
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in the files, its ids fetched by position."""
     rows = spark.read.parquet(folder)
-    # One row per written partition: totals of a few longs become offsets.
-    totals = rows.groupBy("part").agg(F.max(F.col("before") + F.element_at("doc_ends", -1)).alias("n")).orderBy("part").collect()
-    first, at = [], 0
-    for r in totals:
-        first.append((r["part"], at))
-        at += r["n"]
-    offsets = spark.createDataFrame(first, "_part int, first long")
+    # One row per written partition, of which there is a bounded number; their running sum is a small table, and Spark sizes the join.
+    totals = rows.groupBy("part").agg(F.max(F.col("before") + F.element_at("doc_ends", -1)).alias("n"))
+    earlier = Window.partitionBy(F.lit(1)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = staged(totals.select(F.col("part").alias("_part"), F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("long")).alias("first")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -162,5 +159,5 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 start = b.column("first")[r].as_py() + b.column("before")[r].as_py() + ends[:-1]
                 yield pa.RecordBatch.from_arrays([b.column("doc_ids")[r].values, pa.array(start), pa.array(np.diff(ends)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    joined = rows.join(F.broadcast(offsets), F.col("part") == F.col("_part")).select("first", "before", "doc_ids", "doc_ends", "code")
+    joined = rows.join(offsets, F.col("part") == F.col("_part")).select("first", "before", "doc_ids", "doc_ends", "code")
     return joined.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
