@@ -26,6 +26,8 @@ from .graph import components
 from .text import extended, raw, shielded, words
 from .tiles import Forest, block_pairs
 
+#: Texts that are taken apart at a time.
+SLICE = 1000
 SHINGLE = 4
 RADIUS = 4
 SEED = 42
@@ -82,9 +84,11 @@ def with_fingerprint(docs: DataFrame, text: str = "text", name: str = "fp") -> D
     schema = extended(kept, **{name: "long"})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fp = fingerprints(b.column(b.schema.get_field_index(text))).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*[b.column(b.schema.get_field_index(f.name)) for f in kept], pa.array(fp)], names=[*[f.name for f in kept], name])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, SLICE):
+                b = whole.slice(lo, SLICE)
+                fp = fingerprints(b.column(b.schema.get_field_index(text))).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*[b.column(b.schema.get_field_index(f.name)) for f in kept], pa.array(fp)], names=[*[f.name for f in kept], name])
 
     return docs.mapInArrow(run, schema)
 
