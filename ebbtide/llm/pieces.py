@@ -312,7 +312,8 @@ def keys_of(ids: pa.Array, seed: int) -> np.ndarray:
 
 
 def with_ids(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, dropout: float = DROPOUT, seed: int = SEED, ids: str = "ids") -> DataFrame:
-    """``docs`` plus its ids (array<int>). Null texts have none. The document's key and a segment's number in it decide what is skipped."""
+    """``docs`` plus its ids (array<int>; a column of that name is replaced). Null texts have none. The document's key and a segment's number in it decide what is skipped."""
+    docs = docs.drop(ids)
     path, schema = path or default_path(), docs.withColumn(ids, F.array().cast("array<int>")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,7 +330,8 @@ def with_ids(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str
 
 
 def with_text(rows: DataFrame, ids: str = "ids", path: str | None = None, text: str = "decoded") -> DataFrame:
-    """``rows`` plus the text that its ids spell; null ids spell nothing."""
+    """``rows`` plus the text that its ids spell (a column of that name is replaced); null ids spell nothing."""
+    rows = rows.drop(text)
     path, schema = path or default_path(), extended(rows.schema.fields, **{text: "string"})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -34,6 +34,7 @@ def op1_rendezvous_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with their quality score, learned from the labelled rows that aren't held out. A null or empty text gets the score of the bias; repeated rows a row each; without labels of both classes every score is their smoothed share."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = quality.train(docs, table(spark, folder, "labels"))
     return quality.score(docs, model).select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted")
@@ -41,18 +42,21 @@ def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op5_host_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with their measures and verdicts. A null text has no words and fails; a null source is a host of its own; repeated rows get a row each; an empty table gives none."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     return rules.judge(docs, keep_text=False).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 @query
 def op6_simhash_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with their fingerprint and component. Null, empty and blank texts have fingerprint zero and link like any other; repeated rows and null ids get a row each, and no null names a component that has another id."""
     found = simhash.groups(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 @query
 def op7_subspace_join(spark: SparkSession, folder: str) -> DataFrame:
+    """All vectors with their links within their label and their component. Unusable vectors (null, zero, holding null or non-finite components, or without a label) link with nothing; rows of equal id get a row each; a null id is never kept."""
     return embeddings.groups(table(spark, folder, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
 
 
@@ -90,39 +94,44 @@ from b join q on b.source is not distinct from q.source
 
 @query
 def op2_pitman_yor_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with the base's and the model's log10 probability. A null or empty text is its end token; rows of equal id get a row each; with nothing to learn from every token has probability one."""
     return pitman_yor.score(table(spark, folder, "documents").select("doc_id", "text"))
 
 
 @query
 def op9_window_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every document in its window. A null or empty text is its end id; null ids come first and repeated rows are documents of their own; an empty table gives no piece."""
     return packing.pack(table(spark, folder, "documents"))
 
 
 @query
 def op10_addressable_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as read back from the written codes. A null or empty text is its end id; null ids come first and repeated rows are documents of their own; an empty table gives no row."""
     return codes.read(spark, codes.write(table(spark, folder, "documents")))
 
 
 @query
 def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Every licence statement found in all documents, with its family. Null and empty texts have none; repeated rows are read each."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return licenses.scan(docs, licenses.train(docs))
 
 
 @query
 def op8_merge_dropout(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents encoded with dropout and decoded again. A null or empty text has no pieces; rows of equal id and text get equal ids."""
     return pieces.round_trip(table(spark, folder, "documents"))
 
 
 @query
 def op11_pivotal_grams(spark: SparkSession, folder: str) -> DataFrame:
-    """Every frequent word of all documents with its near words' number, its form and the form at the end of its path."""
+    """Every frequent word of all documents with its near words' number, its form and the form at the end of its path. Null and empty texts have no words; repeated rows count again; an empty table gives no row."""
     return spelling.variants(table(spark, folder, "documents"))
 
 
 @query
 def op12_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents with the number of base matches of each kind, the digest of their places, and the places of all matches."""
+    """All documents with the number of base matches of each kind, the digest of their places, and the places of all matches. Null and empty texts have none; repeated rows and null ids get a row each."""
     found = secret_scan.scan(table(spark, folder, "documents"))
     counts = [F.expr(f"cast(size(filter(found, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in secret_scan.BASE]
     base = secret_scan.listed("found", secret_scan.BASE)
@@ -131,7 +140,7 @@ def op12_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op13_truncation_peeling(spark: SparkSession, folder: str) -> DataFrame:
-    """All distinct prefixes of the rebuilt conversations."""
+    """All distinct prefixes of the rebuilt conversations. Null role or text is empty; rows without a conversation are left out; every repeated row is a turn; equal turns are ordered by a hash of role and text; an empty table has no root."""
     return prefix_trie.trie(table(spark, folder, "conversations"))
 
 

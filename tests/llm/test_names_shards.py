@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ebbtide.llm import packing, quality, rules, sharding, simhash
+from ebbtide.llm import packing, pieces, quality, rules, sharding, simhash
 from ebbtide.llm.tiles import Forest
 
 from llm_fixtures import awkward_documents, folder, sentence
@@ -42,6 +42,8 @@ def test_operators_replace_columns_they_make_and_keep_the_rest(spark):
     assert scored.columns.count("score") == 1 and dict(scored.dtypes)["score"] == "double" and scored.where("ids is null").count() == 0
     slots = sharding.with_slots(sharding.assign(plain, [1.0] * 3).withColumn("_row", F.lit("x")).withColumn("_cell", F.lit("y")).withColumn("slot", F.lit("z")))
     assert slots.where("_row = 'x' and _cell = 'y'").count() == plain.count() and dict(slots.dtypes)["slot"] == "bigint"
+    spelled = pieces.with_text(pieces.with_ids(docs, dropout=0.0))
+    assert spelled.columns.count("ids") == spelled.columns.count("decoded") == 1 and spelled.where("coalesce(text, '') <> decoded").count() == 0
     assert simhash.groups(docs).count() == plain.count() and packing.pack(docs).count() > 0
 
 
