@@ -10,8 +10,6 @@ from pyspark.sql import types as T
 
 SECONDS_PER_DAY = 86400
 
-NUMERIC_TYPES = (T.NumericType,)
-
 
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -63,10 +61,6 @@ def clip(c: Column, lo: Column | float | None = None, hi: Column | float | None
     return F.when(c.isNotNull(), out)
 
 
-def count_if(cond: Column) -> Column:
-    return F.count_if(cond)
-
-
 def cut(c: Column, edges: Sequence[float], labels: Sequence, lowest: bool = False) -> Column:
     """Right-closed bins ``(e0, e1], (e1, e2], ...``; outside every bin gives NULL.
 
@@ -102,19 +96,6 @@ def sample_skewness(c: Column | str) -> Column:
     return F.try_divide(g1 * F.sqrt(n * (n - 1)), F.when(n > 2, n - 2))
 
 
-def unpivot(df: DataFrame, keep: Sequence[Column | str], cols: Sequence[str], name="feature", value="value",
-            as_type: str | None = "double") -> DataFrame:
-    """Wide to long: one row per (input row, column) with the column's name and value."""
-    typed = [F.col(c).cast(as_type).alias(c) if as_type else F.col(c) for c in cols]
-    kept = [col(k) for k in keep]
-    return df.select(*kept, *typed).unpivot(
-        [F.col(n) for n in _names(df, kept)], list(cols), name, value)
-
-
-def _names(df: DataFrame, kept: Sequence[Column]) -> list[str]:
-    return df.select(*kept).columns if kept else []
-
-
 def is_numeric(t: T.DataType) -> bool:
     return isinstance(t, T.NumericType)
 
@@ -127,13 +108,3 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 def string_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [f.name for f in df.schema.fields
             if isinstance(f.dataType, T.StringType) and f.name not in exclude]
-
-
-def boolean_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
-    return [f.name for f in df.schema.fields
-            if isinstance(f.dataType, T.BooleanType) and f.name not in exclude]
-
-
-def temporal_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields
-            if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))]

@@ -166,6 +166,16 @@ def map_features(df: DataFrame, mapping: Mapping[str, Column]) -> DataFrame:
     return df.withColumns(dict(mapping))
 
 
+# What a thin scoring payload implies for the fields it lacks.
+PAYLOAD_SIZES, PAYLOAD_SIZE_LABELS = [-INF, 10, 30, INF], ["medium", "large", "enterprise"]
+PAYLOAD_MRR = [(200, "low"), (1000, "medium")]
+PAYLOAD_MRR_OTHERWISE = "high"
+PAYLOAD_MONTH_EDGES, PAYLOAD_MONTH_LABELS = [-INF, 3, 6, 12, INF], ["0-3m", "3-6m", "6-12m", "12+m"]
+PAYLOAD_MODULES = [0.2, 0.4, 0.6, 0.8, 0.9]
+PAYLOAD = {"annual_above": 12, "seat_margin": 0.3, "day_margin": 0.2, "month_days": 22, "usage_last": 200, "usage_prev": 180, "features": 20, "open_share": 0.3,
+           "sponsor_seats": 15, "idle_days": 30, "renewal_near": 30, "renewal_far": 180, "events_per_day": 8}
+
+
 def payload_backfill(df: DataFrame) -> DataFrame:
     """The feature set a thin scoring payload implies, for a whole batch.
 
@@ -177,26 +187,30 @@ def payload_backfill(df: DataFrame) -> DataFrame:
     def whole(c: Column) -> Column:
         return F.greatest(c.cast("long"), F.lit(1).cast("long"))
 
+    v = PAYLOAD
+    segment = F.when(mrr < PAYLOAD_MRR[0][0], PAYLOAD_MRR[0][1])
+    for limit, label in PAYLOAD_MRR[1:]:
+        segment = segment.when(mrr < limit, label)
     first = df.withColumns({
-        "company_size": F.when(seats <= 10, "medium").when(seats <= 30, "large").otherwise("enterprise"),
-        "contract_type": F.when(tenure > 12, "annual").otherwise("monthly"),
+        "company_size": F.coalesce(cut(seats, PAYLOAD_SIZES, PAYLOAD_SIZE_LABELS), F.lit(PAYLOAD_SIZE_LABELS[-1])),
+        "contract_type": F.when(tenure > v["annual_above"], "annual").otherwise("monthly"),
         "arpu": floor_ratio(mrr, seats),
         "revenue_per_seat": floor_ratio(mrr, seats),
-        "seats_active": whole(seats * F.least(adoption + 0.3, F.lit(1.0))),
-        "active_days": whole(tenure * 22 * F.least(adoption + 0.2, F.lit(1.0))),
-        "usage_last_30d": whole(adoption * 200),
-        "usage_prev_30d": whole(adoption * 180),
-        "features_available": F.lit(20).cast("long"),
-        "features_used": whole(adoption * 20),
-        **{f"module_{i}_active": (adoption > t).cast("int") for i, t in enumerate([0.2, 0.4, 0.6, 0.8, 0.9], 1)},
+        "seats_active": whole(seats * F.least(adoption + v["seat_margin"], F.lit(1.0))),
+        "active_days": whole(tenure * v["month_days"] * F.least(adoption + v["day_margin"], F.lit(1.0))),
+        "usage_last_30d": whole(adoption * v["usage_last"]),
+        "usage_prev_30d": whole(adoption * v["usage_prev"]),
+        "features_available": F.lit(v["features"]).cast("long"),
+        "features_used": whole(adoption * v["features"]),
+        **{f"module_{i}_active": (adoption > t).cast("int") for i, t in enumerate(PAYLOAD_MODULES, 1)},
         "total_tickets": tickets.cast("long"),
-        "open_tickets": (tickets * 0.3).cast("long"),
-        "executive_sponsor": (seats > 15).cast("int"),
-        "competitor_evaluation": (dbl("days_since_last_activity") > 30).cast("int"),
-        "contract_renewal_days": F.when(F.col("near_renewal") == 1, 30).otherwise(180),
-        "tenure_bucket": cut(tenure, [-INF, 3, 6, 12, INF], ["0-3m", "3-6m", "6-12m", "12+m"]),
-        "mrr_segment": F.when(mrr < 200, "low").when(mrr < 1000, "medium").otherwise("high"),
-    }).withColumn("total_events", F.greatest((F.col("active_days") * 8 * adoption).cast("long"), F.lit(1).cast("long")))
+        "open_tickets": (tickets * v["open_share"]).cast("long"),
+        "executive_sponsor": (seats > v["sponsor_seats"]).cast("int"),
+        "competitor_evaluation": (dbl("days_since_last_activity") > v["idle_days"]).cast("int"),
+        "contract_renewal_days": F.when(F.col("near_renewal") == 1, v["renewal_near"]).otherwise(v["renewal_far"]),
+        "tenure_bucket": cut(tenure, PAYLOAD_MONTH_EDGES, PAYLOAD_MONTH_LABELS),
+        "mrr_segment": segment.otherwise(PAYLOAD_MRR_OTHERWISE),
+    }).withColumn("total_events", F.greatest((F.col("active_days") * v["events_per_day"] * adoption).cast("long"), F.lit(1).cast("long")))
     modules = sum((F.col(f"module_{i}_active") for i in range(2, 6)), F.col("module_1_active"))
     return first.withColumns({
         "usage_intensity": floor_ratio("total_events", "active_days"),

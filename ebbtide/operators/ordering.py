@@ -383,7 +383,16 @@ def sorted_codes(distinct_values: DataFrame, value: str, by: Sequence[str] = (),
     return numbered.join(first, by).withColumn(code, F.col("__line") - F.col("__0")).drop("__line", "__0")
 
 
-HASH_BUCKETS = 4096
+#: Leading hexadecimal digits of a hash that make a bucket, at least: 4,096 buckets.
+HASH_DIGITS = 3
+
+
+def hash_digits(n_rows: int) -> int:
+    """How many leading digits keep a bucket of evenly spread hashes below ``ROWS_PER_BUCKET`` rows, whatever the size."""
+    digits = HASH_DIGITS
+    while n_rows > ROWS_PER_BUCKET * 16**digits:
+        digits += 1
+    return digits
 
 
 def hash_order(key: Column | str, seed: int) -> Column:
@@ -397,11 +406,11 @@ def hash_ranks(df: DataFrame, key: str, seed: int, by: Sequence[str] = (), rank:
     """Rank of every row in md5 order within its ``by`` group, and the group size.
 
     Rows with a NULL group are left out, as in the other grouped operators. The
-    hash is uniform, so its leading digits are ready-made even buckets: a
-    class with most of the rows is still spread over ``HASH_BUCKETS`` parts.
+    hash is uniform, so its leading digits are ready-made even buckets, more of them
+    the more rows there are: a class with most of the rows is spread over all of them.
     """
     by = list(by)
-    rows = df.withColumn("__h", hash_order(key, seed)).withColumn("__bucket", F.substring("__h", 1, 3))
+    rows = df.withColumn("__h", hash_order(key, seed)).withColumn("__bucket", F.substring("__h", 1, hash_digits(df.count())))
     cells = rows.groupBy(*by, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.partitionBy(*by)
     earlier = w.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -421,7 +430,7 @@ def hash_cuts(df: DataFrame, key: str, seed: int, by: str, cuts: Mapping[str, Ca
     keys are counted and ordered, no others move: repeated rows of a key are one row with a weight. Groups that are NULL, and ranks below 1, have no cut.
     """
     rows = df.where(F.col(by).isNotNull()).select(F.col(by).alias("__by"), F.col(key).alias("k"), hash_order(key, seed).alias("h"))
-    rows = rows.withColumn("__bucket", F.substring("h", 1, 3))
+    rows = rows.withColumn("__bucket", F.substring("h", 1, hash_digits(rows.count())))
     cells = rows.groupBy("__by", "__bucket").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.partitionBy("__by")
     earlier = w.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)

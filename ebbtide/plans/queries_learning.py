@@ -35,8 +35,8 @@ def prepared(spark, d):
 
 
 def judged(model, test, name):
-    """Test metrics of one fitted model."""
-    scored = models.score(test, model, keep=[KEY])
+    """Test metrics of one fitted model. The scored rows are written once, as the metrics read them twice."""
+    scored = staged(models.score(test, model, keep=[KEY]).select(LABEL, "prediction", "probability"))
     return evaluate.core_metrics(scored, LABEL, "prediction", "probability").select(
         F.lit(name).alias("model"), (F.col("tp") + F.col("fn") + F.col("tn") + F.col("fp")).alias("n_rows"),
         "accuracy", "precision", "recall", "f1", "roc_auc", "brier")
@@ -69,7 +69,7 @@ def _(spark, d):
     out = None
     for name, model in (("plain", models.fit_logistic(train, FEATURES, LABEL)),
                         ("mitigated", models.fit_mitigated(weighted, FEATURES, LABEL, "fair_weight", "logistic"))):
-        scored = models.score(test, model).withColumn("grp", group)
+        scored = staged(models.score(test, model).withColumn("grp", group).select(LABEL, "prediction", "probability", "grp"))
         m = evaluate.core_metrics(scored, LABEL, "prediction", "probability")
         f = fairness.fairness_metrics(scored, LABEL, "prediction", "grp")
         row = m.select(F.lit(name).alias("model"), "accuracy", "roc_auc", f.select("demographic_parity_diff").scalar().alias("demographic_parity_diff"))
@@ -135,9 +135,12 @@ def _(spark, d):
 GIVEN = {"balance": -0.4, "n_orders": 1.25, "max_spend": 0.3, "industry_BUILDING": 0.7, "industry_MACHINERY": -0.2}
 
 
-@query("artifact_scores", "select account_id, round(1 / (1 + exp(-(0.1::double" + "".join(
-    f" + {w}::double * coalesce(({c} - (select avg({c}) from accounts)) / (select stddev_pop({c}) from accounts), 0)" for c, w in GIVEN.items() if not c.startswith("industry"))
-    + "".join(f" + case when industry = '{c.split('_')[1]}' then {w}::double else 0 end" for c, w in GIVEN.items() if c.startswith("industry")) + "))), 6) probability from accounts")
+GIVEN_SQL = "1 / (1 + exp(-(0.1::double" + "".join(
+    f" + {w}::double * coalesce(({c} - (select avg({c}) from accounts)) / (select stddev_pop({c}) from accounts), 0)" for c, w in GIVEN.items() if not c.startswith("industry")) + "".join(
+    f" + case when industry = '{c.split('_')[1]}' then {w}::double else 0 end" for c, w in GIVEN.items() if c.startswith("industry")) + ")))"
+
+
+@query("artifact_scores", f"select account_id, round({GIVEN_SQL}, 6) probability from accounts")
 def _(spark, d):
     """Given weights behind scaling and levels fitted on all accounts, saved, reloaded, and applied to their raw rows."""
     rows = v.accounts(spark, d)
@@ -160,6 +163,21 @@ def _(spark, d):
     return made.matrix
 
 
+@query("score_stream_given", f"""select risk_tier, industry, count(*) n_rows, round(max(p), 6) max_probability from (
+  select industry, {GIVEN_SQL} p, case when {GIVEN_SQL} >= 0.7 then 'HIGH' when {GIVEN_SQL} >= 0.4 then 'MEDIUM' else 'LOW' end risk_tier from accounts) group by 1, 2""")
+def _(spark, d):
+    """All accounts arriving raw as a stream, scored by a reloaded artifact of given weights, written as audit rows and read back."""
+    rows = v.accounts(spark, d).select(KEY, "industry", "balance", "n_orders", "max_spend")
+    t = encode.ColumnTransform(["balance", "n_orders", "max_spend"], CATEGORIES, []).fit(rows)
+    path = artifact.save_artifact(artifact.linear_artifact(t, GIVEN, 0.1), scratch(spark, "models"), "given", "1")
+    src, out, state = scratch(spark, "raw-arrivals"), scratch(spark, "given-scored"), scratch(spark, "given-state")
+    io.write_table(rows, src)
+    stream = artifact.score_raw(spark.readStream.schema(rows.schema).parquet(src), artifact.load_artifact(path), [KEY, "industry"])
+    st.drain(io.audit_rows(stream.withColumn("risk_tier", audit_tier("probability")), KEY, "probability", ["industry"]), out, state, fmt="json")
+    back = spark.read.schema("probability double, risk_tier string, protected_attributes struct<industry: string>").json(out)
+    return back.groupBy("risk_tier", F.col("protected_attributes.industry").alias("industry")).agg(F.count(F.lit(1)).alias("n_rows"), F.max("probability").alias("max_probability"))
+
+
 SMALL = {"forest": {"trees": 10, "depth": 5}, "boosting": {"rounds": 5, "depth": 3}}
 
 

@@ -93,6 +93,17 @@ def _(spark, d):
     return log.select("table_name", "file", "size_bytes", "n_rows", "content_hash")
 
 
+@query("version_log", " union all ".join(f"select '{t}' table_name, count(*) n_rows, 2 n_entries, true same_content from {t}" for t in ("customer", "orders", "lineitem", "events")))
+def _(spark, d):
+    """Two versions of the same files: rows of each table, log entries, and whether the content was found unchanged."""
+    log, sources = scratch(spark, "versions"), {n: f"{d}/{n}.parquet" for n in ("customer", "orders", "lineitem", "events")}
+    io.append_version_log(spark, sources, log)
+    both = io.append_version_log(spark, sources, log)
+    # A table may have several files: each is an entry of its own.
+    files = both.groupBy("table_name", "file").agg(F.max("n_rows").alias("n_rows"), F.count(F.lit(1)).alias("n_entries"), (F.count_distinct("content_hash") == 1).alias("same"))
+    return files.groupBy("table_name").agg(F.sum("n_rows").alias("n_rows"), F.max("n_entries").alias("n_entries"), F.every("same").alias("same_content"))
+
+
 @query("load_baseline", "select count(*) n_rows, count(distinct o_custkey) n_keys from orders")
 def _(spark, d):
     """Missing baseline: the first existing fallback is snapshotted and used."""
