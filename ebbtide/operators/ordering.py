@@ -13,6 +13,7 @@ is exact whatever the borders are.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -121,8 +122,10 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Se
     by, cols, probs = list(by), list(cols), [float(p) for p in probs]
     if approx:
         return _aggregated(df, cols, by, probs, lambda c: F.percentile_approx(c, probs, APPROX_ACCURACY))
-    x = [no_nan(c) for c in cols]
     kept = df.where(F.expr(" and ".join(f"`{c}` is not null" for c in by))) if by else df
+    # Named once, so that the comparisons below don't spell the cast out at every edge.
+    kept = kept.select(*by, *[no_nan(c).alias(f"__x{i}") for i, c in enumerate(cols)])
+    x = [F.col(f"__x{i}") for i in range(len(cols))]
     sketched = kept.groupBy(*by).agg(*[F.kll_sketch_agg_double(v, F.lit(SKETCH_SIZE)).alias(f"__s{i}") for i, v in enumerate(x)])
     sketched = small_side(sketched)
     while True:
@@ -141,41 +144,73 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Se
 def _intervals(kept: DataFrame, sketched: DataFrame, x: Sequence[Column], probs: Sequence[float], by: Sequence[str], margin: float) -> tuple[DataFrame, DataFrame | None]:
     """(slots: by, __i, __j, n, rank, rank_low, rank_high, lo, hi, below, upto; inside: by, __i, value, cnt, or None if no interval needs it).
 
-    Without groups the intervals are two constants per wanted quantile; with groups each row meets its group's.
+    With groups each row meets its group's intervals.
     """
     reach = {side: F.array(*[F.lit(min(1.0, max(0.0, p + s * margin))) for p in probs]) for side, s in (("l", -1), ("h", 1))}
     sizes = [F.coalesce(F.kll_sketch_get_n_double(F.col(f"__s{i}")), F.lit(0)) for i in range(len(x))]
     fitted = [F.when(n > 0, F.kll_sketch_get_quantile_double(F.col(f"__s{i}"), ranks)).alias(f"__{side}{i}") for i, n in enumerate(sizes) for side, ranks in reach.items()]
     bounds = sketched.select(*by, *[n.alias(f"__n{i}") for i, n in enumerate(sizes)], *fitted)
+    if not by:
+        return _constant_intervals(kept, x, probs, bounds.first().asDict())
     pairs = [(i, j) for i in range(len(x)) for j in range(len(probs))]
-    if by:
-        rows, told = kept.join(small_side(bounds), list(by)), None
-        edge = lambda side, i, j: F.col(f"__{side}{i}")[j]
-    else:
-        rows, told = kept, bounds.first().asDict()
-        pairs = [(i, j) for i, j in pairs if told[f"__n{i}"]]
-        edge = lambda side, i, j: F.lit(told[f"__{side}{i}"][j])
-    if not pairs:  # nothing but NULL
-        empty = kept.sparkSession.createDataFrame([], "__i int, __j int, n long, rank double, rank_low long, rank_high long, lo double, hi double, below long, upto long")
-        return empty, None
+    rows = kept.join(small_side(bounds), list(by))
+    edge = lambda side, i, j: F.col(f"__{side}{i}")[j]
     counts = [a for i, j in pairs for a in (F.count_if(x[i] < edge("l", i, j)).alias(f"__b{i}_{j}"), F.count_if(x[i] <= edge("h", i, j)).alias(f"__u{i}_{j}"))]
-    same = [F.any_value(f"__{c}{i}").alias(f"__{c}{i}") for i in range(len(x)) for c in "lhn"] if by else []
-    counted = rows.groupBy(*by).agg(*counts, *same)
-    size = lambda i: F.col(f"__n{i}") if by else F.lit(told[f"__n{i}"])
-    cells = F.array(*[F.struct(F.lit(i).alias("__i"), F.lit(j).alias("__j"), size(i).cast("long").alias("n"), (F.lit(probs[j]) * (size(i) - 1)).alias("rank"),
+    counted = rows.groupBy(*by).agg(*counts, *[F.any_value(f"__{c}{i}").alias(f"__{c}{i}") for i in range(len(x)) for c in "lhn"])
+    cells = F.array(*[F.struct(F.lit(i).alias("__i"), F.lit(j).alias("__j"), F.col(f"__n{i}").cast("long").alias("n"), (F.lit(probs[j]) * (F.col(f"__n{i}") - 1)).alias("rank"),
                                edge("l", i, j).alias("lo"), edge("h", i, j).alias("hi"), F.col(f"__b{i}_{j}").alias("below"), F.col(f"__u{i}_{j}").alias("upto")) for i, j in pairs])
     slots = counted.select(*by, F.explode(cells).alias("e")).select(*by, "e.*").where("n > 0")
     slots = small_side(slots.select("*", F.floor("rank").alias("rank_low"), F.ceil("rank").alias("rank_high")))
-    wide = [(i, j) for i, j in pairs if by or told[f"__l{i}"][j] < told[f"__h{i}"][j]]
-    if not wide:
-        return slots, None
     within: dict[int, Column] = {}
-    for i, j in wide:
+    for i, j in pairs:
         hit = (x[i] >= edge("l", i, j)) & (x[i] <= edge("h", i, j)) & (edge("l", i, j) < edge("h", i, j))
         within[i] = within[i] | hit if i in within else hit
+    return slots, _inside(rows, x, within, by)
+
+
+def _inside(rows: DataFrame, x: Sequence[Column], within: Mapping[int, Column], by: Sequence[str] = ()) -> DataFrame:
+    """(by, __i, value, cnt): the values that meet their column's condition, counted before they move."""
     held = F.array_compact(F.array(*[F.when(hit, F.struct(F.lit(i).alias("__i"), x[i].alias("value"))) for i, hit in within.items()]))
-    inside = rows.select(*by, F.explode(held).alias("e")).select(*by, "e.*").groupBy(*by, "__i", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    return slots, inside
+    return rows.select(*by, F.explode(held).alias("e")).select(*by, "e.*").groupBy(*by, "__i", "value").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def _place(value: Column, marks: Sequence[Column], lo: int = 0, hi: int | None = None) -> Column:
+    """2 i where a value lies between mark i - 1 and mark i, 2 i + 1 where it is mark i; marks ascend."""
+    hi = len(marks) if hi is None else hi
+    if lo == hi:
+        return F.lit(2 * lo) if lo == len(marks) else F.when(value == marks[lo], 2 * lo + 1).otherwise(2 * lo)
+    mid = (lo + hi) // 2
+    return F.when(value > marks[mid], _place(value, marks, mid + 1, hi)).otherwise(_place(value, marks, lo, mid))
+
+
+def _constant_intervals(kept: DataFrame, x: Sequence[Column], probs: Sequence[float], told: Mapping) -> tuple[DataFrame, DataFrame | None]:
+    """The same without groups: all edges are numbers here, and each column's rows are counted by where they lie among its own edges."""
+    marks, cells = {}, []
+    for i in range(len(x)):
+        if told[f"__n{i}"]:
+            marks[i] = sorted({*told[f"__l{i}"], *told[f"__h{i}"]})
+            at = F.when(x[i].isNotNull(), _place(x[i], [F.lit(m) for m in marks[i]]))
+            cells.append(F.struct(F.lit(i).alias("i"), at.alias("at")))
+    schema = "__i int, __j int, n long, rank double, rank_low long, rank_high long, lo double, hi double, below long, upto long"
+    if not cells:  # nothing but NULL
+        return kept.sparkSession.createDataFrame([], schema), None
+    seen = kept.select(F.explode(F.array(*cells)).alias("e")).select("e.*").where("at is not null").groupBy("i", "at").count().collect()
+    counts: dict[int, dict[int, int]] = {i: {} for i in marks}
+    for r in seen:
+        counts[r["i"]][r["at"]] = r["count"]
+    slots, within = [], {}
+    for i, edges in marks.items():
+        held: set[int] = set()
+        for j, p in enumerate(probs):
+            lo, hi, n = told[f"__l{i}"][j], told[f"__h{i}"][j], told[f"__n{i}"]
+            first, last = 2 * edges.index(lo) + 1, 2 * edges.index(hi) + 1
+            rank = p * (n - 1)
+            slots.append((i, j, n, rank, math.floor(rank), math.ceil(rank), lo, hi, sum(c for at, c in counts[i].items() if at < first), sum(c for at, c in counts[i].items() if at <= last)))
+            if lo < hi:
+                held |= set(range(first, last + 1))
+        if held:
+            within[i] = F.coalesce(_place(x[i], [F.lit(m) for m in edges]).isin(*sorted(held)) & x[i].isNotNull(), F.lit(False))
+    return kept.sparkSession.createDataFrame(slots, schema), _inside(kept, x, within) if within else None
 
 
 def _resolved(slots: DataFrame, inside: DataFrame, by: Sequence[str], fraction: Column, rows: int) -> DataFrame:
@@ -284,14 +319,7 @@ def value_at(df: DataFrame, column: str, rank: int, rows: int = SELECT_ROWS) ->
             raise ValueError(f"there is no rank {rank}")
         marks = [F.lit(x).cast(kind) for x in splits]
 
-        def place(lo: int, hi: int) -> Column:
-            """2 i where the value lies between split i - 1 and split i, 2 i + 1 where it is split i."""
-            if lo == hi:
-                return F.lit(2 * lo) if lo == len(marks) else F.when(F.col(column) == marks[lo], 2 * lo + 1).otherwise(2 * lo)
-            mid = (lo + hi) // 2
-            return F.when(F.col(column) > marks[mid], place(mid + 1, hi)).otherwise(place(lo, mid))
-
-        counts = {r["at"]: r["count"] for r in part.groupBy(place(0, len(marks)).alias("at")).count().collect()}
+        counts = {r["at"]: r["count"] for r in part.groupBy(_place(F.col(column), marks).alias("at")).count().collect()}
         for at in sorted(counts):
             if below + counts[at] > rank:
                 break
