@@ -75,11 +75,13 @@ def falls(blocks: DataFrame, rows: int = ROWS_PER_BUCKET) -> int:
     return inside.unionByName(seams).where("bad").count()
 
 
-def _carried(rows: DataFrame, value: str, order: Sequence[Column], forward: bool) -> Column:
-    """The nearest non-null value before (or after) a row inside its bucket."""
-    w = Window.partitionBy("bucket").orderBy(*order)
-    frame = w.rowsBetween(Window.unboundedPreceding, 0) if forward else w.rowsBetween(1, Window.unboundedFollowing)
-    return (F.last if forward else F.first)(value, ignorenulls=True).over(frame)
+def _carried(value: str, order: Sequence[Column], forward: bool) -> Column:
+    """The nearest non-null value before (or after) a row inside its bucket.
+
+    Both ways the frame only grows: a frame that ends with the bucket is walked anew for every row.
+    """
+    w = Window.partitionBy("bucket").orderBy(*[c.asc() if forward else c.desc() for c in order])
+    return F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0 if forward else -1))
 
 
 def apply(df: DataFrame, blocks: DataFrame, p: str = "probability", name: str = "calibrated", rows: int = ROWS_PER_BUCKET) -> DataFrame:
@@ -98,12 +100,12 @@ def apply(df: DataFrame, blocks: DataFrame, p: str = "probability", name: str =
     borders = range_borders(both, ["x"], parts)["x"] if parts > 1 else []
     both = both.withColumn("bucket", bucket_index(F.col("x"), borders))
     ends = both.where("kind = 0").groupBy("bucket").agg(F.max_by("block", "x").alias("top"), F.min_by("block", "x").alias("low"))
-    line = Window.partitionBy(F.lit(1)).orderBy("bucket")  # one row per bucket
+    line, earlier = Window.partitionBy(F.lit(1)), (Window.unboundedPreceding, -1)  # one row per bucket
     every = both.select("bucket").distinct().join(ends, "bucket", "left").select(
-        "bucket", F.last("top", ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1)).alias("under"),
-        F.first("low", ignorenulls=True).over(line.rowsBetween(1, Window.unboundedFollowing)).alias("over"))
+        "bucket", F.last("top", ignorenulls=True).over(line.orderBy("bucket").rowsBetween(*earlier)).alias("under"),
+        F.last("low", ignorenulls=True).over(line.orderBy(F.col("bucket").desc()).rowsBetween(*earlier)).alias("over"))
     order = [F.col("x"), F.col("kind")]
-    near = both.withColumns({"below": _carried(both, "block", order, True), "above": _carried(both, "block", order, False)}).where("kind = 1").join(every, "bucket")
+    near = both.withColumns({"below": _carried("block", order, True), "above": _carried("block", order, False)}).where("kind = 1").join(every, "bucket")
     near = near.select("x", F.coalesce("below", "under").alias("a"), F.coalesce("above", "over").alias("b"))
     x, a, b = F.col("x"), F.col("a"), F.col("b")
     between = a["value"] + (b["value"] - a["value"]) * (x - a["hi"]) / (b["lo"] - a["hi"])

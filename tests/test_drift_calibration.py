@@ -156,3 +156,18 @@ def test_isotonic_without_rows(spark):
     blocks = isotonic.fit(none, "y", "x")
     assert blocks.count() == 0
     assert isotonic.apply(spark.createDataFrame([(1.0, 2.0)], "x double, y double"), blocks, "x").first().calibrated is None
+
+
+def test_isotonic_values_are_carried_in_frames_that_only_grow(spark):
+    """A frame from a row to the end of its bucket is summed up again at every row: quadratic in a bucket's rows."""
+    df = spark.range(200).select(F.col("id").cast("double").alias("x"), (F.col("id") % 3).cast("double").alias("y"))
+    blocks = isotonic.fit(df, "y", "x")
+    asked = spark.createDataFrame([(-1.0,), (0.5,), (100.25,), (300.0,)], "x double")
+    out = isotonic.apply(asked, blocks, "x", "c")
+    plan = out._jdf.queryExecution().analyzed().toString().lower()
+    assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan
+    ends = sorted({(e, b.value) for b in blocks.collect() for e in (b.lo, b.hi)})
+    for r in out.collect():
+        below, above = [e for e in ends if e[0] <= r.x][-1:], [e for e in ends if e[0] >= r.x][:1]
+        (a, va), (b, vb) = (below or above)[0], (above or below)[0]
+        assert r.c == pytest.approx(va if a == b else va + (vb - va) * (r.x - a) / (b - a))
