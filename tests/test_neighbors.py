@@ -133,3 +133,30 @@ def test_one_feature_and_vectors_that_read_the_same_backwards(spark):
     check(neighbors.nearest_neighbors(df, df, "id", "v", 3, block_rows=16), brute(pts, pts, 3, True))
     none = df.where("false")
     assert neighbors.nearest_neighbors(df, none, "id", "v").count() == 0 and neighbors.nearest_neighbors(none, df, "id", "v").count() == 0
+
+
+def test_unprunable_vectors_meet_in_tiles(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    x = np.round(rng.normal(size=(300, 24)) + 1000, 3)
+    x[::7] = x[0]
+    pts = {i: v for i, v in enumerate(x)}
+    df = table(spark, pts)
+    monkeypatch.setattr(neighbors, "TILE", (40, 70))
+    monkeypatch.setattr(neighbors, "STEP", 500)
+    index = neighbors.build_index(neighbors._vectors(df, "id", "v"), 4, 16)
+    asked = neighbors._vectors(df, "id", "v").select(F.col("key").cast("string").alias("qid"), "v")
+    assert neighbors.reached_share(index, neighbors.search_bounds(index, asked, 16)) > 0.5
+    monkeypatch.setattr(neighbors, "_planned", None)  # blocks would hold a row per query and block
+    check(neighbors.nearest_neighbors(df, df, "id", "v", 3, block_rows=16), brute(pts, pts, 3, True))
+
+
+def test_matrix_products_lose_no_neighbour():
+    rng = np.random.default_rng(3)
+    b = np.repeat(rng.integers(0, 3, (200, 4)).astype(float) * 1e-7 + 1e6, 2, axis=0)  # ties, and distances far below the numbers' size
+    a, keep = b[:50], 5
+    seen = {}
+    for row, c, dist in neighbors._closest(a, np.full(len(a), np.inf), b, keep):
+        for r, j, d in zip(row.tolist(), c.tolist(), dist.tolist()):
+            seen.setdefault(r, []).append((d, j))
+    for r in range(len(a)):
+        assert seen[r] == sorted((float(np.sqrt(((a[r] - w) ** 2).sum())), j) for j, w in enumerate(b))[:keep]
