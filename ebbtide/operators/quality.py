@@ -141,22 +141,27 @@ def table_fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> DataF
     """Row count and an order-insensitive content hash, stable across runs and partitionings.
 
     Each cell is written with its length (NULL: ``-``), so no two rows share a text; the four words of all rows' md5
-    are summed as decimals, which no row count overflows.
+    are summed, in parts that no row count overflows.
     """
     n_rows, *sums = row_hash_sums([F.col(c) for c in (cols or df.columns)])
     return df.agg(n_rows, *sums).select("n_rows", hash_text().alias("fingerprint"))
 
 
 def row_hash_sums(cells: Sequence[Column]) -> list[Column]:
-    """Aggregates that ``hash_text`` turns into a table's content hash."""
+    """Aggregates that ``hash_text`` turns into a table's content hash.
+
+    The digest's 16-bit parts are summed, as longs: sums of decimals cost more than the digest itself, and whole words would overflow at 2^31 rows.
+    """
     texts = [c.cast("string") for c in cells]
     digest = F.md5(F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]))
-    words = [F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("decimal(20,0)") for i in range(4)]
-    return [F.count(F.lit(1)).alias("n_rows"), *[F.coalesce(F.sum(w), F.lit(0)).alias(f"__w{i}") for i, w in enumerate(words)]]
+    halves = [F.conv(F.substring(digest, 16 * i + 1, 16), 16, -10).cast("long") for i in range(2)]
+    parts = [F.shiftrightunsigned(halves[i // 4], 48 - 16 * (i % 4)).bitwiseAND(F.lit(0xFFFF).cast("long")) for i in range(8)]
+    return [F.count(F.lit(1)).alias("n_rows"), *[F.coalesce(F.sum(p), F.lit(0)).alias(f"__w{i}") for i, p in enumerate(parts)]]
 
 
 def hash_text() -> Column:
-    return F.concat_ws("-", *[F.col(f"__w{i}").cast("decimal(38,0)").cast("string") for i in range(4)])
+    part = [F.col(f"__w{i}").cast("decimal(20,0)") for i in range(8)]
+    return F.concat_ws("-", *[(part[2 * i] * F.lit(65536).cast("decimal(5,0)") + part[2 * i + 1]).cast("decimal(38,0)").cast("string") for i in range(4)])
 
 
 def table_summary(df: DataFrame, label: str, capped: Sequence[str] = ()) -> DataFrame:

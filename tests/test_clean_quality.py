@@ -94,3 +94,18 @@ def test_rollup_null_rules(spark):
     df = spark.createDataFrame([("a", None), ("a", None), ("b", 2.0), (None, 1.0)], "k string, x double")
     got = {r.k: r for r in rollups.generic_rollup(df, "k", ["sum", "mean", "std"], "u_").collect()}
     assert set(got) == {"a", "b"} and got["a"].u_x_sum == 0.0 and got["a"].u_x_mean is None and got["b"].u_x_std is None
+
+
+def test_fingerprint_sums_md5_words_without_decimals_per_row(spark):
+    import hashlib
+
+    cells = [(1, "ab"), (2, None), (-7, ""), (2**40, "é" * 50), *[(i, "x") for i in range(300)]]
+    df = spark.createDataFrame(cells, "a long, b string")
+    text = lambda c: "-" if c is None else f"{len(str(c))}:{c}"
+    digests = [hashlib.md5("".join(text(c) for c in row).encode()).hexdigest() for row in cells]
+    want = "-".join(str(sum(int(d[8 * i:8 * i + 8], 16) for d in digests)) for i in range(4))
+    out = quality.table_fingerprint(df)
+    assert tuple(out.first()) == (304, want)
+    assert tuple(quality.table_fingerprint(df.limit(0)).first()) == (0, "0-0-0-0")
+    summed = [e for e in quality.row_hash_sums([F.col("a"), F.col("b")])[1:]]
+    assert not any("decimal" in t for _, t in df.agg(*summed).dtypes)
