@@ -204,6 +204,86 @@ def test_probabilities_sum_to_one(spark):
         assert abs(p.sum() - 1) < 1e-9 and (p > 0).all()
 
 
+def test_contexts_are_the_words_before(spark):
+    # Words of equal endings stand before different words; a model of classes of contexts can't tell them apart.
+    ends = ["left", "right", "up", "down", "in", "out"]
+    texts = [f"{'abcdef'[i % 6]}{'xyz'[i % 3]}same go {ends[i % 6]}" for i in range(240)]
+    held = [i for i in range(10_000, 11_000) if zlib.crc32(str(i).encode()) % 10 == 0][:12]
+    asked = [f"{'abcdef'[i % 6]}{'xyz'[i % 3]}same go {ends[(i + i // 6) % 6]}" for i in range(12)]
+    docs = spark.createDataFrame([*enumerate(texts), *zip(held, asked)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pitman_yor.score(docs).collect()}
+    right, wrong = ([got[i].score for i in part] for part in (held[:6], held[6:]))
+    assert all(got[i].held_out for i in held) and min(right) > max(wrong) + 1
+
+
+def test_entries_of_many_words():
+    # Where pairs and thirds don't fit one number together, they are told apart in two steps.
+    rng = np.random.default_rng(4)
+    pair, third = rng.integers(0, 40, 900), rng.integers(0, 30, 900)
+    for values, fan, thirds, at in (pitman_yor.entries_of(pair, third, 40, 30), pitman_yor.entries_of(pair, third, 1 << 40, 1 << 30)):
+        got = list(zip(np.repeat(values, fan).tolist(), thirds.tolist()))
+        assert got == sorted(set(zip(pair.tolist(), third.tolist()))) and [got[i] for i in at] == list(zip(pair.tolist(), third.tolist()))
+
+
+def spread_out(spark, monkeypatch):
+    """Documents, and the buckets of their model after its last sweep: eight words in any order, one of them in every other place."""
+    monkeypatch.setattr(pitman_yor, "CHUNK_TOKENS", 300)
+    monkeypatch.setattr(pitman_yor, "GROUP_TOKENS", 100)
+    monkeypatch.setattr(pitman_yor, "BUCKET_ENTRIES", 800)
+    rng = random.Random(5)
+    names = ["the", "of", "to", "a", "in", "it", "is", "on"]
+    every = [" ".join(x) for x in [(), *((a,) for a in names), *((a, b) for a in names for b in names), *((a, b, c) for a in names for b in names for c in names)]]
+    ids = [i for i in range(100_000) if zlib.crc32(str(i).encode()) % 10 == 0]
+    learn = [i for i in range(5000) if zlib.crc32(str(i).encode()) % 10][:300]
+    texts = [" ".join("the" if rng.random() < 0.5 else rng.choice(names[1:7]) for _ in range(12)) for _ in learn]
+    docs = spark.createDataFrame([*zip(learn, texts), *zip(ids, every)], "doc_id long, text string").repartition(3)
+    number = pitman_yor.numbered(pitman_yor.chunk_rows(docs), 2)
+    asked = pitman_yor.asked_of(number, 9).partitionBy(9, pitman_yor._same)
+    found = pitman_yor.dishes_of(asked)
+    model, left = pitman_yor.learned(found, number.shared, 2)
+    rows = pitman_yor.grouped(spark.sparkContext.union([found, *left]).collect())
+    buckets = []
+    for k, own in rows.items():
+        if dish := [r[1:] for r in own if r[0] == "found"]:
+            bucket = model.bucket(dict(zip(pitman_yor.ROW, dish[0]), bucket=k))
+            model.back(bucket, own, 2)
+            buckets.append(bucket)
+    return texts, names, number, model, buckets
+
+
+def test_counts_and_probabilities_over_buckets(spark, monkeypatch):
+    texts, names, number, model, buckets = spread_out(spark, monkeypatch)
+    homes = [{b.number for b in buckets if v in b.v} for v in number.shared]
+    assert len(homes) >= 1 and len(buckets) > 3 and max(len(h) for h in homes) > 1
+    # Every entry and its count, by brute force.
+    from collections import Counter
+
+    want = Counter()
+    for t in texts:
+        w = [None, None, *t.split(), None]
+        want.update(zip(w, w[1:], w[2:]))
+    counts = sorted(int(c) for b in buckets for c in b.count if c)
+    assert counts == sorted(want.values()) and sum(counts) == model.tokens and model.words == len({w for t in texts for w in t.split()}) + 1
+    contexts = [(int(v), int(c)) for b in buckets for v, c in zip(b.v, b.c2) if c]
+    assert sorted(c for _, c in contexts) == sorted(Counter({k: sum(n for e, n in want.items() if e[:2] == k) for k in {e[:2] for e in want}}).values())
+    # In each context that all words were asked in, they and the unknown word share the probability one.
+    checked = 0
+    for b in buckets:
+        base = model.base(b.of_word)
+        for ctx in range(len(b.v)):
+            mine = b.word[b.ctx == ctx]
+            if len(mine) == len(names) + 1:
+                # The unigram base counts one unknown word, and words asked for but never learned are as unknown as that one.
+                never = int((b.of_word[mine] == 0).sum())
+                p = b.predict(np.append(mine, -1), np.full(len(mine) + 1, ctx), model.history[2], base, model.unknown)
+                assert np.allclose(p[:-1], b.entries(model.history[2], base)[b.ctx == ctx]) and (p > 0).all()
+                assert abs(p.sum() - never * p[-1] - 1) < 1e-9
+                checked += 1
+    assert checked > 40
+    # Totals are those of the seatings.
+    assert model.history[2][-4] == model.tokens and 0 < model.history[2][-1] <= model.history[2][-2]
+
+
 def test_quality(spark):
     good = [sentence(60, i) for i in range(150)]
     bad = [" ".join(w.upper() + "!!" for w in sentence(60, i).split()) for i in range(150)]
