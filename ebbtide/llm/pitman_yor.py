@@ -358,12 +358,18 @@ def merged(asks: list[tuple]) -> tuple[tuple, np.ndarray]:
     words, w = distinct(np.concatenate([g[3] for g in got]))
     contexts, fan, word, at = entries_of(np.repeat(v * np.int64(len(us)) + u, fan), w, len(vs) * len(us), len(words))
     seen = np.bincount(at, np.concatenate([g[4] for g in got]), len(word)).astype(np.int64)
-    return tuple(packed(x) for x in (steps(vs[contexts // len(us)]), us[contexts % len(us)], fan, steps(words), word, seen)), at
+    return (vs[contexts // len(us)], us[contexts % len(us)], fan, words, word.astype(np.int64), seen), at
 
 
 def dishes_of(asked: RDD) -> RDD:
     """One row per bucket, from requests laid out by bucket."""
-    return asked.mapPartitions(lambda rows: ((k, ("found", *merged([r[1] for r in own])[0])) for k, own in by_bucket(rows, "ask")), preservesPartitioning=True)
+
+    def run(rows):
+        for k, own in by_bucket(rows, "ask"):
+            v, u, fan, words, word, seen = merged([r[1] for r in own])[0]
+            yield k, ("found", *(packed(x) for x in (steps(v), u, fan, steps(words), word, seen)))
+
+    return asked.mapPartitions(run, preservesPartitioning=True)
 
 
 def dishes(asked: DataFrame) -> DataFrame:
@@ -574,8 +580,13 @@ class Model:
         return (count + 0.1) / (self.tokens + 0.1 * (self.words + 1))
 
     def bucket(self, row: dict) -> Bucket:
-        v, fan, words, word, seen = (unpacked(row[c]) for c in ("v", "fan", "words", "word", "seen"))
-        return Bucket(np.cumsum(words), np.cumsum(v), np.repeat(np.arange(len(fan)), fan), word, seen, row["bucket"], self.shared)
+        v, u, fan, words, word, seen = (unpacked(row[c]) for c in ROW)
+        return self.seated((np.cumsum(v), u, fan, np.cumsum(words), word, seen), row["bucket"])
+
+    def seated(self, found: tuple, number: int) -> Bucket:
+        """A bucket of ``merged`` requests before the first sweep."""
+        v, _, fan, words, word, seen = found
+        return Bucket(words, v, np.repeat(np.arange(len(fan)), fan), word, seen, number, self.shared)
 
     def root(self, part: int, tells: list[tuple], s: int) -> tuple[np.ndarray, list[tuple]]:
         """A part of the root in sweep ``s``: (its share of the totals, what it tells each bucket)."""
@@ -630,15 +641,18 @@ def by_bucket(rows: Iterable, *kinds: str) -> Iterator[tuple[int, list]]:
 
 
 def learned(found: RDD, shared: np.ndarray, sweeps: int) -> tuple[Model, list[RDD]]:
-    """(totals of every sweep, what it left and the root told each bucket) from buckets laid out by number. Of all this only the totals reach the driver."""
+    """(totals of every sweep, what it left and the root told each bucket) from buckets, or requests to them, laid out by number. Of all this only the totals reach the driver."""
     parts = found.getNumPartitions()
     model, left = Model(-(-parts // ROOT_SHARE), shared), []
     for s in range(sweeps + 1):
         now = replace(model, history=list(model.history))
 
         def up(rows, s=s, now=now):
-            for k, own in by_bucket(rows, "found", "state", "told"):
-                bucket = now.bucket(dict(zip(ROW, next(r for r in own if r[0] == "found")[1:]), bucket=k))
+            for k, own in by_bucket(rows, "found", "ask", "state", "told"):
+                if asks := [r[1] for r in own if r[0] == "ask"]:
+                    bucket = now.seated(merged(asks)[0], k)
+                else:
+                    bucket = now.bucket(dict(zip(ROW, next(r for r in own if r[0] == "found")[1:]), bucket=k))
                 if s:
                     now.back(bucket, own, s - 1)
                     bucket.sweep(s, now.history[s - 1], now.base(bucket.of_word))
@@ -676,7 +690,7 @@ def answers(asked: RDD, left: list[RDD], model: Model) -> RDD:
         for k, own in by_bucket(rows, "ask", "state", "told"):
             asks = [r[1] for r in own if r[0] == "ask"]
             found, at = merged(asks)
-            bucket, p = model.bucket(dict(zip(ROW, found), bucket=k)), 0
+            bucket, p = model.seated(found, k), 0
             for s in kept:
                 model.back(bucket, own, s)
                 p = p + bucket.entries(model.history[s], model.base(bucket.of_word))
@@ -700,7 +714,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", sweeps: int
     number = numbered(chunk_rows(docs, key, text), max(8, -(-size // PARTITION_BYTES)))
     buckets = max(8, -(-number.tokens // BUCKET_ENTRIES))
     asked = asked_of(number, buckets).partitionBy(buckets, _same)
-    model, left = learned(dishes_of(asked), number.shared, sweeps)
+    model, left = learned(asked, number.shared, sweeps)
     replies = answers(asked, left, model).partitionBy(number.parts, _spread)
     light, tokens, vocabulary = replace(number, chunks=None, ids=None), model.tokens, model.words
 
