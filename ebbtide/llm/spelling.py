@@ -10,6 +10,8 @@ of it alone, and half of what lies to the right; an edit left of the right pivot
 one 64-bit key of an equality join, so that a word meets few others however many share its bigram; the edit distance is then verified.
 
 Words travel as rows, joins and minima only; a word's own rows (at most 5 x 2 x 4 in the index, 12 lookups) don't depend on the vocabulary.
+All joins are merges by hint, as both sides grow with the vocabulary: Spark sizes a side by its compressed files, also after an explode that makes
+many rows of each, and would else send millions of rows through the driver whenever the files are below the broadcast threshold.
 """
 
 from __future__ import annotations
@@ -212,7 +214,7 @@ def candidates(words: DataFrame) -> DataFrame:
     h = F.expr("least(left_over, left_over - longer) div 2").cast("int")
     asked = asked.select(_key(F.col("equal"), F.col("rest"), sides, F.col("half"), F.col("size") - F.col("longer"), h).alias("key"), F.col("word").alias("a"), F.col("n").alias("n_a"), F.col("last").alias("last_a"))
 
-    met = asked.join(index, "key").where((F.col("last_a") <= F.col("last_b")) & (F.col("a") != F.col("b")))
+    met = asked.join(index.hint("merge"), "key").where((F.col("last_a") <= F.col("last_b")) & (F.col("a") != F.col("b")))
     return met.select("a", "n_a", "b", "n_b")
 
 
@@ -232,7 +234,7 @@ def roots(forms: DataFrame) -> DataFrame:
     now = staged(forms.select("word", F.col("form").alias("root")))
     while True:
         step = now.select(F.col("word").alias("at"), F.col("root").alias("next"))
-        new = staged(now.join(step, F.col("root") == F.col("at"), "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
+        new = staged(now.join(step.hint("merge"), F.col("root") == F.col("at"), "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
         now = new.select("word", "root")
         if new.where("moved").isEmpty():
             return now
@@ -254,5 +256,5 @@ def variants(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     fits = most >= RATIO * F.col("n")
     near = staged(best.select("word", "n_near", F.when(fits, F.col("best.near")).alias("form"), F.when(fits, most).alias("form_n")))
     led = roots(near.where("form is not null"))
-    out = words.join(near, "word", "left").join(led, "word", "left")
+    out = words.join(near.hint("merge"), "word", "left").join(led.hint("merge"), "word", "left")
     return out.select("word", "form", F.coalesce("root", "word").alias("root"), "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), "form_n")

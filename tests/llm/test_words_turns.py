@@ -127,6 +127,24 @@ def test_candidates_stay_few(spark):
     assert met.count() < 20 * len(words)
 
 
+def test_no_join_of_words_is_broadcast(spark, monkeypatch):
+    """Files of a few words are below any threshold; the rows made of them, and those of a large vocabulary, don't pass through the driver."""
+    plans, keep = [], spelling.staged
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(spelling, "staged", lambda df: keep(planned(df)))
+    docs = spelled(10)
+    out = planned(spelling.variants(spark.createDataFrame(docs, "doc_id long, text string")))
+    got = out.collect()
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute_variants(docs)))
+    assert sum("SortMergeJoin" in p for p in plans) >= 4  # candidates, a round of paths or more, the result as planned and as run
+    assert not [p for p in plans if "Broadcast" in p]
+
+
 def test_word_counts_of_awkward_texts(spark):
     docs = awkward_documents(spark)
     got = {r.word: r.n for r in spelling.word_counts(clashing(docs)).collect()}
